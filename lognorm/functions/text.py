@@ -94,16 +94,24 @@ def regex_replace(x: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(x, pattern, java)
 
 
+def _keyed(items: Column) -> Column:
+    """Items with their case-insensitive key and position, in key order."""
+    return F.array_sort(F.transform(
+        items, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x"))))
+
+
 def sort(items: Column) -> Column:
     """Case-insensitive; equal keys keep their order."""
-    keyed = F.transform(items, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("i"), x.alias("x")))
-    return F.transform(F.array_sort(keyed), lambda s: s["x"])
+    return F.transform(_keyed(items), lambda s: s["x"])
 
 
 def unique(items: Column) -> Column:
     """First spelling of each case-insensitive value, in order of appearance."""
-    lowered = F.transform(items, F.lower)
-    return F.filter(items, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+    ordered = _keyed(items)
+    previous = F.concat(F.array(F.lit(None)), ordered)
+    firsts = F.zip_with(ordered, previous, lambda s, p: F.when(
+        s.isNotNull() & (p.isNull() | (p["k"] != s["k"])), F.struct(s["i"].alias("i"), s["x"].alias("x"))))
+    return F.transform(F.array_sort(F.array_compact(firsts)), lambda s: s["x"])
 
 
 def characters(x: Column) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +44,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder all executors can write to, below the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the executors (what ``--py-files`` does)."""
+    root = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='lognorm-')}/lognorm", "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(archive)

@@ -50,7 +50,7 @@ def _first_character(spark: SparkSession, path: str, encoding: str) -> str:
         .select(F.substring("content", 1, 64).alias("head")).first()
     )
     text = bytes(head["head"])[:64].decode(encoding, errors="ignore")
-    return text.lstrip("﻿ \t\r\n")[:1]
+    return text.lstrip("\ufeff \t\r\n")[:1]
 
 
 def replicate(df: DataFrame, n: int = 2) -> DataFrame:
