@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lognorm.functions.sql import literal
+
 # Field types a mapping may declare, and the spellings read as true (fixed values).
 FIELD_TYPES = ("str", "int", "float", "bool", "datetime")
 TRUE_WORDS = ("true", "1", "yes")
@@ -13,11 +15,16 @@ TRUE_WORDS = ("true", "1", "yes")
 _FLOAT_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def coerce(text: Column, field_type: str) -> Column:
+def coerce_sql(text: str, field_type: str) -> str:
+    """SQL for ``text`` (a column or expression in SQL) as the declared type."""
     if field_type == "int":
-        return text.try_cast("long")
+        return f"try_cast({text} AS BIGINT)"
     if field_type == "float":
-        return F.when(text.rlike(_FLOAT_TEXT), text.try_cast("double"))
+        return f"CASE WHEN rlike({text}, {literal(_FLOAT_TEXT)}) THEN try_cast({text} AS DOUBLE) END"
     if field_type == "bool":
-        return F.lower(text).isin(*TRUE_WORDS)
+        return f"lower({text}) IN ({', '.join(literal(w) for w in TRUE_WORDS)})"
     return text
+
+
+def coerce(text: str, field_type: str) -> Column:
+    return F.expr(coerce_sql(text, field_type))

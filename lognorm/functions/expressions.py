@@ -16,6 +16,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from lognorm.functions.sql import literal
+
 ALLOWED_FUNCTIONS = frozenset("""
     lower upper trim ltrim rtrim btrim replace left right substr substring length char_length
     coalesce nvl nullif if concat concat_ws array_join split split_part initcap lpad rpad
@@ -41,16 +43,13 @@ class UnsafeExpression(ValueError):
     pass
 
 
-def safe_expr(
-    text: str, names: Iterable[str], column_sql: Callable[[str], str] | None = None
-) -> Column:
+def safe_expr(text: str, names: Iterable[str]) -> Column:
     """Column for an expression over group names held in the map column ``groups``.
 
     A name absent from the matched pattern renders as empty text, except directly inside
     ``coalesce``/``nvl``, where it is null so that a default can step in.
     """
-    column_sql = column_sql or (lambda name: f"try_element_at(groups, '{name}')")
-    return F.expr(rewrite(text, frozenset(names), column_sql))
+    return F.expr(rewrite(text, frozenset(names), lambda name: f"try_element_at(groups, {literal(name)})"))
 
 
 def rewrite(text: str, names: frozenset[str], column_sql: Callable[[str], str]) -> str:

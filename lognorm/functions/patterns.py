@@ -10,11 +10,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from lognorm.functions.sql import literal
 
-# Separates captures inside the one-pass extraction; rows that hold it take the slow form.
-SEPARATOR = "\x01"
+# Inside the one-pass extraction: between captures, and in place of a name the pattern does
+# not define. Rows that hold either character take the slow form.
+SEPARATOR, ABSENT = "\x01", "\x02"
 
 _PIECE = re.compile(
     r"(?P<escape>\\U[0-9a-fA-F]{8}|\\.)"
@@ -38,27 +38,24 @@ class SparkPattern:
     regex: str
     names: tuple[str | None, ...]  # per group ordinal, None for an unnamed group
 
-    def matches(self, text: Column) -> Column:
-        return text.rlike(self.regex)
+    def matches(self, text: str) -> str:
+        """SQL: does the text column match from its first character."""
+        return f"rlike({text}, {literal(self.regex)})"
 
-    def groups(self, text: Column) -> Column:
-        """Named captures as map<string,string>, with one regex pass per record.
+    def ordinals(self, names: list[str]) -> list[int]:
+        """Group number of each name; 0 for a name this pattern does not define."""
+        return [self.names.index(n) + 1 if n in self.names else 0 for n in names]
 
-        The whole payload is replaced by its captures joined with a separator, then split.
-        A named group that took no part gives an empty string.
+    def joined(self, text: str, names: list[str]) -> str:
+        """SQL: the captures in the order of ``names``, joined, with one regex pass.
+
+        The whole payload is replaced by its captures; a group that took no part is empty.
         """
-        named = [(i + 1, n) for i, n in enumerate(self.names) if n is not None]
-        if not named:
-            return F.create_map().cast("map<string,string>")
-        ordinals = [i for i, _ in named]
-        joined = F.regexp_replace(
-            text, self.regex + r"[\s\S]*\z", SEPARATOR.join(f"${i}" for i in ordinals)
-        )
-        captures = F.when(
-            text.contains(SEPARATOR),
-            F.array(*[F.regexp_extract(text, self.regex, i) for i in ordinals]),
-        ).otherwise(F.split(joined, SEPARATOR, -1))
-        return F.map_from_arrays(F.array(*[F.lit(n) for _, n in named]), captures)
+        marks = SEPARATOR.join(f"${i}" if i else ABSENT for i in self.ordinals(names))
+        return f"regexp_replace({text}, {literal(self.regex + _TAIL)}, {literal(marks)})"
+
+
+_TAIL = r"[\s\S]*\z"
 
 
 def regex_error(pattern: str) -> str | None:

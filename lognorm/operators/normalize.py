@@ -6,25 +6,23 @@ any definition writes, then the nested struct over those columns.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lognorm.functions.coerce import coerce
-from lognorm.functions.expressions import safe_expr
-from lognorm.functions.payload import fingerprint_of
-from lognorm.operators.route import extract_groups
+from lognorm.functions.coerce import coerce_sql
+from lognorm.functions.expressions import rewrite
+from lognorm.functions.sql import array, case, literal, named_struct, null
+from lognorm.operators.route import capture, extract_captures
 from lognorm.schema import (
     ALL_FIELDS, CLASS_FIELDS, ENGINE_FIELDS, ENUMS, OBJECTS, OCSF_EVENT, OCSF_VERSION, Leaf,
     kind_at, leaves, members, spark_type,
 )
 from lognorm.sources.parsers import FieldMapping, ParserDef
 
-ERROR_TYPE = "struct<field:string,code:string,input:string>"
+ERROR_TYPE = "STRUCT<field: STRING, code: STRING, input: STRING>"
 ENUM_MODES = ("code", "instance")
 UNMAPPED_MODES = ("merge", "replace")
 
@@ -32,19 +30,21 @@ UNMAPPED_MODES = ("merge", "replace")
 _STRICT = {"str": "str", "datetime": "str", "int": "int", "bool": "bool", "float": "float"}
 
 
-def error(path: str, code: str, value: Column) -> Column:
-    return F.struct(
-        F.lit(path).alias("field"), F.lit(code).alias("code"), value.cast("string").alias("input")
-    ).cast(ERROR_TYPE)
+def error(path: str, code: str, value: str = "NULL") -> str:
+    return named_struct({"field": literal(path), "code": literal(code), "input": f"CAST({value} AS STRING)"})
+
+
+def sql_type(kind: str) -> str:
+    return spark_type(kind).simpleString()
 
 
 @dataclass
 class _Compiled:
-    """Column expressions of one definition."""
+    """SQL expressions of one definition."""
 
-    values: dict[str, Column] = field(default_factory=dict)  # leaf path -> typed value
-    unmapped: dict[str, Column] = field(default_factory=dict)  # key -> text
-    errors: list[Column] = field(default_factory=list)  # null when all is well
+    values: dict[str, str] = field(default_factory=dict)  # leaf path -> typed value
+    unmapped: dict[str, str] = field(default_factory=dict)  # key -> text
+    errors: list[str] = field(default_factory=list)  # null when all is well
 
 
 def normalize(
@@ -62,17 +62,20 @@ def normalize(
         raise ValueError(f"enum_mode is one of {ENUM_MODES}, unmapped_mode of {UNMAPPED_MODES}")
     compiled = [_compile(d, enum_mode) for d in defs]
     used = [leaf for leaf in leaves(ALL_FIELDS) if any(leaf.path in c.values for c in compiled)]
-    flat = extract_groups(df, defs).withColumns({
-        **{leaf.column: _by_parser([c.values.get(leaf.path) for c in compiled], spark_type(leaf.kind))
-           for leaf in used},
-        "leaf_unmapped": _unmapped(defs, compiled, unmapped_mode),
-        "type_errors": F.coalesce(
-            _by_parser([_collect(c.errors) for c in compiled], f"array<{ERROR_TYPE}>"),
-            F.array().cast(f"array<{ERROR_TYPE}>"),
-        ),
-    })
+    no_errors = f"CAST(array() AS ARRAY<{ERROR_TYPE}>)"
+    type_errors = _by_parser([_collect(c.errors) for c in compiled], f"ARRAY<{ERROR_TYPE}>")
+    flat = extract_captures(df, defs).selectExpr(
+        "*",
+        *[_by_parser([c.values.get(leaf.path) for c in compiled], sql_type(leaf.kind)) + f" AS {leaf.column}"
+          for leaf in used],
+        _unmapped(defs, compiled, unmapped_mode) + " AS leaf_unmapped",
+        f"coalesce({type_errors}, {no_errors}) AS type_errors",
+    )
     helper = [leaf.column for leaf in used] + ["leaf_unmapped"]
-    return flat.withColumn("event", _event(defs, {leaf.path for leaf in used})).drop(*helper)
+    event = named_struct({"event": _event(defs, {leaf.path for leaf in used})})
+    # inline, not a plain column: filters on event members then stay above it, and Catalyst
+    # does not unfold the mapping of every leaf into them.
+    return flat.select("*", F.expr(f"inline(array({event}))")).drop(*helper)
 
 
 # ------------------------------------------------------------------ one definition
@@ -82,55 +85,56 @@ def _compile(d: ParserDef, enum_mode: str) -> _Compiled:
     fields = CLASS_FIELDS[d.ocsf_class]
     out = _Compiled()
     for i, m in enumerate(d.field_mappings):
-        text = _source_text(m, d.group_names)
-        present = F.length(text) > 0
+        text = _source_text(d, m)
+        present = f"length({text}) > 0"
         covered = any(later.ocsf_field.startswith(m.ocsf_field + ".") for later in d.field_mappings[i + 1:])
-        _assign(out, fields, m.ocsf_field, coerce(text, m.type), _STRICT[m.type], present, enum_mode, covered)
+        _assign(out, fields, m.ocsf_field, coerce_sql(text, m.type), _STRICT[m.type], present, enum_mode, covered)
         if m.default is not None:
-            absent = ~F.coalesce(present, F.lit(False))
+            absent = f"NOT coalesce({present}, FALSE)"
             _assign_literal(out, fields, m.ocsf_field, m.default, absent, enum_mode)
     for path, value in d.static_values.items():
         if isinstance(value, dict) and kind_at(fields, path) in OBJECTS:
             out.values = {p: v for p, v in out.values.items() if not p.startswith(path + ".")}
-        _assign_literal(out, fields, path, value, F.lit(True), enum_mode)
+        _assign_literal(out, fields, path, value, "TRUE", enum_mode)
     _classify(out, d, enum_mode)
     return out
 
 
-def _source_text(m: FieldMapping, names: list[str]) -> Column:
-    if m.expr:
-        return safe_expr(m.expr, names).cast("string")
-    return F.try_element_at(F.col("groups"), F.lit(m.leaf))
+def _source_text(d: ParserDef, m: FieldMapping) -> str:
+    if not m.expr:
+        return capture(d, m.leaf)
+    text = rewrite(m.expr, frozenset(d.group_names), lambda name: capture(d, name))
+    return f"CAST({text} AS STRING)"
 
 
-def _assign(out: _Compiled, fields: dict[str, str], path: str, value: Column, given: str,
-            when: Column, enum_mode: str, covered: bool = False) -> None:
+def _assign(out: _Compiled, fields: dict[str, str], path: str, value: str, given: str,
+            when: str, enum_mode: str, covered: bool = False) -> None:
     """Record ``value`` at ``path`` where ``when`` holds; a later value of the path wins."""
     if path.split(".")[0] in ENGINE_FIELDS:
         return  # rebuilt by the engine
-    kind, value = kind_at(fields, path), F.when(when, value)
+    kind, value = kind_at(fields, path), case([(when, value)])
     if kind == "any":
         key = path.split(".", 1)[1]
         if path.startswith("unmapped."):
-            out.unmapped[key] = _later(value.cast("string"), out.unmapped.get(key))
+            out.unmapped[key] = _later(f"CAST({value} AS STRING)", out.unmapped.get(key))
         return
     if kind is None:
         parent = _scalar_parent(fields, path)
         if parent:
-            out.errors.append(F.when(value.isNotNull(), error(parent, "type", value)))
+            out.errors.append(case([(f"{value} IS NOT NULL", error(parent, "type", value))]))
         return  # unknown paths vanish; the lint reports them
     needed = "int" if kind in ENUMS else kind
     if needed == given and not (kind in ENUMS and enum_mode == "instance"):
         out.values[path] = _later(value, out.values.get(path))
     elif not covered:  # an object written below later replaces the scalar
         code = "enum_instance" if kind in ENUMS and needed == given else "type"
-        out.errors.append(F.when(value.isNotNull(), error(path, code, value)))
+        out.errors.append(case([(f"{value} IS NOT NULL", error(path, code, value))]))
         if code == "enum_instance":
             out.values[path] = _later(value, out.values.get(path))
 
 
 def _assign_literal(out: _Compiled, fields: dict[str, str], path: str, value: Any,
-                    when: Column, enum_mode: str) -> None:
+                    when: str, enum_mode: str) -> None:
     """Defaults and static values: typed constants, taken without coercion."""
     kind = kind_at(fields, path)
     if isinstance(value, dict):
@@ -138,18 +142,17 @@ def _assign_literal(out: _Compiled, fields: dict[str, str], path: str, value: An
             for name, inner in value.items():
                 _assign_literal(out, fields, f"{path}.{name}", inner, when, enum_mode)
             return
-        value = json.dumps(value)
         given = "map"
     elif isinstance(value, list):
-        given, value = (kind, value) if _list_fits(kind, value) else ("list", json.dumps(value))
+        given, value = (kind, value) if _list_fits(kind, value) else ("list", value)
     else:
         given = {bool: "bool", int: "int", float: "float", str: "str"}.get(type(value), "none")
     if given == kind and isinstance(value, list):
-        column = F.from_json(F.lit(json.dumps(value)), spark_type(kind))
+        column = f"from_json({literal(value)}, {literal(sql_type(kind))})"
     elif isinstance(value, bool) and kind == "any":
-        column = F.lit(str(value).lower())
+        column = literal(str(value).lower())
     else:
-        column = F.lit(value).cast("long") if given == "int" else F.lit(value)
+        column = literal(value)
     if value is not None:
         _assign(out, fields, path, column, given, when, enum_mode)
 
@@ -181,103 +184,95 @@ def _scalar_parent(fields: dict[str, str], path: str) -> str | None:
     return None
 
 
-def _later(new: Column, old: Column | None) -> Column:
-    return new if old is None else F.coalesce(new, old)
+def _later(new: str, old: str | None) -> str:
+    return new if old is None else f"coalesce({new}, {old})"
 
 
 def _classify(out: _Compiled, d: ParserDef, enum_mode: str) -> None:
-    """Activity, category and class unless the definition set them."""
+    """Activity, category, class and severity unless the definition set them."""
+    if CLASS_FIELDS[d.ocsf_class]["activity_id"] in ENUMS and enum_mode == "instance" \
+            and "activity_id" not in out.values:
+        out.errors.append(error("activity_id", "enum_instance", "0"))
     for path, code in (("activity_id", 0), ("category_uid", d.ocsf_category_uid),
-                       ("class_uid", d.ocsf_class_uid)):
-        fallback = F.lit(code).cast("long")
-        is_enum = CLASS_FIELDS[d.ocsf_class][path] in ENUMS
-        if is_enum and enum_mode == "instance" and path not in out.values:
-            out.errors.append(error(path, "enum_instance", fallback))
-        out.values[path] = F.coalesce(out.values[path], fallback) if path in out.values else fallback
-    out.values["severity_id"] = _later(out.values.get("severity_id", F.lit(None)), F.lit(1).cast("long")) \
-        if "severity_id" in out.values else F.lit(1).cast("long")
+                       ("class_uid", d.ocsf_class_uid), ("severity_id", 1)):
+        known = out.values.get(path)
+        out.values[path] = literal(code) if known is None else f"coalesce({known}, {literal(code)})"
 
 
-def _collect(errors: list[Column]) -> Column | None:
-    return F.array_compact(F.array(*errors)) if errors else None
+def _collect(errors: list[str]) -> str | None:
+    return f"array_compact({array(errors)})" if errors else None
 
 
 # ------------------------------------------------------------------ all definitions
 
 
-def _by_parser(columns: list[Column | None], spark_type_) -> Column:
-    """The winning definition's column."""
-    case = None
+def _by_parser(columns: list[str | None], spark_type_: str) -> str:
+    """The winning definition's value; definitions that agree share a branch."""
+    owners: dict[str, list[str]] = {}
     for parser_id, column in enumerate(columns):
         if column is not None:
-            case = (F if case is None else case).when(F.col("parser_id") == parser_id, column.cast(spark_type_))
-    return case if case is not None else F.lit(None).cast(spark_type_)
-
-
-def leftovers(groups: Column, mapped_leaves: list[str]) -> Column:
-    """Non-empty captures whose name is no mapped leaf name."""
-    return F.map_filter(groups, lambda k, v: (v != "") & ~k.isin(*mapped_leaves) if mapped_leaves else v != "")
-
-
-def _unmapped(defs: list[ParserDef], compiled: list[_Compiled], mode: str) -> Column:
-    def build(d: ParserDef, c: _Compiled) -> Column:
-        rest = leftovers(F.col("groups"), d.mapped_leaves)
-        if not c.unmapped:
-            return rest
-        pairs = F.filter(
-            F.array(*[F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in c.unmapped.items()]),
-            lambda p: p["v"].isNotNull(),
-        )
-        mapped = F.map_from_entries(pairs)
-        if mode == "replace":
-            return F.when(F.size(rest) > 0, rest).otherwise(mapped)
+            owners.setdefault(column, []).append(str(parser_id))
+    branches = [(f"parser_id IN ({', '.join(ids)})", column) for column, ids in owners.items()]
+    return f"CAST({case(branches)} AS {spark_type_})"
+
+
+def _unmapped(defs: list[ParserDef], compiled: list[_Compiled], mode: str) -> str:
+    """Mapped ``unmapped.*`` keys and left-over captures: non-empty, named like no mapped leaf."""
+    def entries(pairs: list[tuple[str, str, str]]) -> str:
+        found = [case([(when, named_struct({"key": literal(k), "value": v}))]) for k, v, when in pairs]
+        return f"array_compact({array(found)})"
+
+    def build(d: ParserDef, c: _Compiled) -> str | None:
+        mapped = [(k, v, f"{v} IS NOT NULL") for k, v in c.unmapped.items()]
+        rest = [(n, capture(d, n), f"{capture(d, n)} <> ''") for n in d.group_names if n not in d.mapped_leaves]
+        if mode == "replace" and mapped and rest:
+            any_left = " OR ".join(f"coalesce({when}, FALSE)" for _, _, when in rest)
+            return case([(any_left, entries(rest))], entries(mapped))
         # A mapped key wins over a left-over capture of the same name.
-        taken = list(c.unmapped)
-        return F.map_concat(mapped, F.map_filter(
-            rest, lambda k, v: ~(k.isin(*taken) & F.map_contains_key(mapped, k))))
+        rest = [(n, v, f"{when} AND {c.unmapped[n]} IS NULL" if n in c.unmapped else when) for n, v, when in rest]
+        return entries(mapped + rest) if mapped or rest else None
 
-    whole = _by_parser([build(d, c) for d, c in zip(defs, compiled)], "map<string,string>")
-    return F.when(F.size(whole) > 0, whole)
+    pairs = _by_parser([build(d, c) for d, c in zip(defs, compiled)], "ARRAY<STRUCT<key: STRING, value: STRING>>")
+    return f"map_from_entries({pairs})"
 
 
-def _event(defs: list[ParserDef], used: set[str]) -> Column:
-    processed = F.unix_millis("ingest_ts")
-    product = [F.struct(
-        F.lit(d.name).alias("name"), F.lit(d.vendor).alias("vendor_name"),
-        F.lit(d.version).alias("version"), F.lit(None).cast("string").alias("uid"),
-    ) for d in defs]
+def _event(defs: list[ParserDef], used: set[str]) -> str:
+    if not defs:
+        return null(OCSF_EVENT.simpleString())
+    processed = "unix_millis(ingest_ts)"
+    product = [named_struct({
+        "name": literal(d.name), "vendor_name": literal(d.vendor), "version": literal(d.version),
+        "uid": null("STRING"),
+    }) for d in defs]
     engine = {
         "time": processed,
-        "metadata": F.struct(
-            F.lit(OCSF_VERSION).alias("version"),
-            _by_parser(product, spark_type("Product")).alias("product"),
-            F.lit(None).cast("long").alias("logged_time"),
-            processed.alias("processed_time"),
-            F.lit(None).cast("string").alias("original_time"),
-            F.lit(None).cast("array<string>").alias("profiles"),
-            F.lit(None).cast("string").alias("uid"),
-        ),
-        "raw_data": F.col("payload"),
-        "raw_data_hash": fingerprint_of(F.col("raw_sha256")),
-        "raw_data_size": F.octet_length("raw").cast("long"),
-        "unmapped": F.col("leaf_unmapped"),
+        "metadata": named_struct({
+            "version": literal(OCSF_VERSION),
+            "product": _by_parser(product, sql_type("Product")),
+            "logged_time": null("BIGINT"),
+            "processed_time": processed,
+            "original_time": null("STRING"),
+            "profiles": null("ARRAY<STRING>"),
+            "uid": null("STRING"),
+        }),
+        "raw_data": "payload",
+        "raw_data_hash": named_struct({
+            "algorithm": literal("SHA-256"), "algorithm_id": literal(3), "value": "raw_sha256"}),
+        "raw_data_size": "CAST(octet_length(raw) AS BIGINT)",
+        "unmapped": case([("size(leaf_unmapped) > 0", "leaf_unmapped")]),
     }
-    parts = [
-        (engine[name] if name in engine else _tree(name, kind, used)).alias(name)
-        for name, kind in ALL_FIELDS.items()
-    ]
-    type_uid = F.col(Leaf("class_uid", "int").column) * 100 + F.col(Leaf("activity_id", "int").column)
-    if not defs:
-        return F.lit(None).cast(OCSF_EVENT)
-    return F.when(F.col("parser_id").isNotNull(), F.struct(*parts, type_uid.alias("type_uid")))
+    parts = {name: engine.get(name) or _tree(name, kind, used) for name, kind in ALL_FIELDS.items()}
+    class_uid, activity_id = Leaf("class_uid", "int").column, Leaf("activity_id", "int").column
+    parts["type_uid"] = f"{class_uid} * 100L + {activity_id}"
+    return case([("parser_id IS NOT NULL", named_struct(parts))])
 
 
-def _tree(path: str, kind: str, used: set[str]) -> Column:
-    """Column for a position; an object is null unless one of its leaves has a value."""
+def _tree(path: str, kind: str, used: set[str]) -> str:
+    """SQL for a position; an object is null unless one of its leaves has a value."""
     if kind not in OBJECTS:
-        return F.col(Leaf(path, kind).column) if path in used else F.lit(None).cast(spark_type(kind))
+        return Leaf(path, kind).column if path in used else null(sql_type(kind))
     below = [leaf for leaf in leaves({path: kind}) if leaf.path in used]
     if not below:
-        return F.lit(None).cast(spark_type(kind))
-    whole = F.struct(*[_tree(f"{path}.{n}", t, used).alias(n) for n, (t, _) in members(kind).items()])
-    return F.when(reduce(Column.__or__, [F.col(leaf.column).isNotNull() for leaf in below]), whole)
+        return null(sql_type(kind))
+    whole = named_struct({n: _tree(f"{path}.{n}", t, used) for n, (t, _) in members(kind).items()})
+    return case([(" OR ".join(f"{leaf.column} IS NOT NULL" for leaf in below), whole)])

@@ -1,29 +1,66 @@
 """First-match routing and capture extraction.
 
-One CASE over all patterns in routing order picks the winner and, in the same branch,
-extracts its captures; later patterns are never tried. The result passes through
-``inline``, which keeps Catalyst from copying the regexes into filters and leaf
-expressions above: each record is matched once, whatever is selected later. No shuffle,
-no Python.
+One CASE over all patterns in routing order picks the winner; later patterns are never
+tried. Its result passes through ``inline``, which keeps Catalyst from copying the regexes
+into filters and leaf expressions above: each record is matched once, whatever is selected
+later. Only the winning pattern then extracts, all captures in one pass. No shuffle, no
+Python, and small enough expressions for the JVM to compile.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lognorm.functions.patterns import to_spark
+from lognorm.functions.patterns import ABSENT, SEPARATOR, SparkPattern, to_spark
+from lognorm.functions.sql import array, case, literal
 from lognorm.operators.guard import with_payload
 from lognorm.sources.parsers import ParserDef
 
-ROUTE_TYPE = "struct<parser_id:int,parser:string,pattern_id:int,groups:map<string,string>>"
 
+def _patterns(defs: list[ParserDef]) -> list[tuple[int, ParserDef, SparkPattern]]:
+    """All patterns in routing order; the position is the pattern id."""
+    return [(i, d, to_spark(p)) for i, d in enumerate(defs) for p in d.match_patterns]
 
-def route(df: DataFrame, defs: list[ParserDef], with_groups: bool = False) -> DataFrame:
-    """Adds ``parser_id, parser, pattern_id`` (null when nothing matches), and ``groups``."""
+
+def route(df: DataFrame, defs: list[ParserDef]) -> DataFrame:
+    """Adds ``parser_id, parser, pattern_id``; null when nothing matches."""
     ready = df if "payload" in df.columns else with_payload(df)
-    routed = ready.select("*", F.inline(F.array(_hit(defs, with_groups))))
-    return routed if with_groups else routed.drop("groups")
+    patterns = _patterns(defs)
+    hit = case([(p.matches("payload"), str(i)) for i, (_, _, p) in enumerate(patterns)])
+    parser_ids = array([str(i) for i, _, _ in patterns]) if patterns else "array(0)"
+    names = array([literal(d.name) for d in defs]) if defs else "array('')"
+    return (
+        ready.select("*", F.expr(f"inline(array(named_struct('pattern_id', CAST({hit} AS INT))))"))
+        .withColumn("parser_id", F.expr(f"get({parser_ids}, pattern_id)"))
+        .withColumn("parser", F.expr(f"get({names}, parser_id)"))
+    )
+
+
+def extract_captures(df: DataFrame, defs: list[ParserDef]) -> DataFrame:
+    """``route`` plus ``captures``: the winner's captures in the order of its ``group_names``."""
+    routed = route(df, defs)
+    patterns = _patterns(defs)
+    if not patterns:
+        return routed.withColumn("captures", F.lit(None).cast("array<string>"))
+    joined = case([(f"pattern_id = {i}", p.joined("payload", d.group_names)) for i, (_, d, p) in enumerate(patterns)])
+    regexes = array([literal(p.regex) for _, _, p in patterns])
+    ordinals = array([f"CAST({array([str(o) for o in p.ordinals(d.group_names)])} AS ARRAY<INT>)" for _, d, p in patterns])
+    one_by_one = (
+        f"transform(get({ordinals}, pattern_id), o -> CASE WHEN o = 0 THEN {literal(ABSENT)} "
+        f"ELSE regexp_extract(payload, get({regexes}, pattern_id), o) END)")
+    plain = f"contains(payload, {literal(SEPARATOR)}) OR contains(payload, {literal(ABSENT)})"
+    captures = case([("pattern_id IS NULL", "NULL"), (plain, one_by_one)], f"split({joined}, {literal(SEPARATOR)}, -1)")
+    return routed.withColumn("captures", F.expr(captures))
+
+
+def capture(d: ParserDef, name: str) -> str:
+    """SQL for a group of a definition; null where the matched pattern has no such name."""
+    if name not in d.group_names:
+        return "NULL"
+    value = f"get(captures, {d.group_names.index(name)})"
+    everywhere = all(name in to_spark(p).names for p in d.match_patterns)
+    return value if everywhere else f"nullif({value}, {literal(ABSENT)})"
 
 
 def extract_groups(df: DataFrame, defs: list[ParserDef]) -> DataFrame:
@@ -31,24 +68,11 @@ def extract_groups(df: DataFrame, defs: list[ParserDef]) -> DataFrame:
 
     A key is present for every name the pattern defines; a group that took no part is ''.
     """
-    return route(df, defs, with_groups=True)
-
-
-def _hit(defs: list[ParserDef], with_groups: bool) -> Column:
-    text = F.col("payload")
-    case = None
-    pattern_id = 0
-    for parser_id, d in enumerate(defs):
-        for pattern in d.match_patterns:
-            compiled = to_spark(pattern)
-            groups = compiled.groups(text) if with_groups else F.lit(None)
-            found = F.struct(
-                F.lit(parser_id).alias("parser_id"), F.lit(d.name).alias("parser"),
-                F.lit(pattern_id).alias("pattern_id"), groups.alias("groups"),
-            ).cast(ROUTE_TYPE)
-            case = (F if case is None else case).when(compiled.matches(text), found)
-            pattern_id += 1
-    return (case if case is not None else F.lit(None)).cast(ROUTE_TYPE)
+    extracted = extract_captures(df, defs)
+    names = array([f"CAST({array([literal(n) for n in d.group_names])} AS ARRAY<STRING>)" for d in defs] or ["array('')"])
+    whole = f"map_from_arrays(get({names}, parser_id), captures)"
+    groups = f"map_filter({whole}, (k, v) -> v <> {literal(ABSENT)})"
+    return extracted.withColumn("groups", F.expr(groups)).drop("captures")
 
 
 def dry_run(definition: ParserDef, df: DataFrame) -> DataFrame:

@@ -189,8 +189,8 @@ def _paths(fields: dict[str, str], prefix: str = "") -> list[str]:
 
 
 _CODES = values([(c, text(n)) for c, n in ENUMS["LogonTypeId"].items()])
-_DRAFT_N = "regexp_extract(payload, '^(\\d+)', 1)::BIGINT"
-_DRAFTS = ALL + f""", dead AS (SELECT DISTINCT sha256(payload) AS raw_sha256, payload, {_DRAFT_N} AS n
+_DRAFT_N = "try_cast(regexp_extract(payload, '^(\\d+)', 1) AS BIGINT)"
+_DRAFTS = ALL + f""", dead AS (SELECT DISTINCT sha256(payload) AS raw_sha256, payload, {_DRAFT_N} AS id, {_DRAFT_N} // 3 % 3 AS n
   FROM routed WHERE parser IS NULL)"""
 _HARM = " OR ".join(f"contains(lower({{0}}), '{w}')" for w in HARM_WORDS)
 _LATENCY = ", ".join(f"('{b}', {b})" for b in LATENCY_BUCKETS)
@@ -336,12 +336,12 @@ SQL: dict[str, str] = {
         SELECT file, ocsf_class, path FROM mapped WHERE path NOT LIKE 'unmapped.%' AND (ocsf_class, path) NOT IN
           (SELECT (c, p) FROM {values([(text(c), text(p)) for c in CLASS_FIELDS for p in _paths(CLASS_FIELDS[c])])} AS k(c, p))""",
     "expr_text": r"""WITH w AS (SELECT doc_id, lang, text, string_split(text, ' ') AS words FROM documents)
-        SELECT doc_id, sha256(lower(text)) AS lower, sha256(upper(text)) AS upper,
+        SELECT doc_id, sha256(lower(text)) AS lower, sha256(upper(replace(text, 'ß', 'ss'))) AS upper,
         sha256(regexp_replace(text, '^[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x0b\x1c-\x1f]+|[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x0b\x1c-\x1f]+$', '', 'g')) AS trim,
         sha256(replace(text, 'a', 'b')) AS replaced, sha256(array_to_string(words, ';')) AS joined,
         words[1] AS first_word, words[len(words)] AS last_word, length(text)::BIGINT AS chars, len(words)::BIGINT AS n_words,
         sha256(regexp_replace(text, '\n([^\n])', E'\n    \\1', 'g')) AS indented,
-        sha256(regexp_replace(text, '(a+|e+|i+|o+|u+)', '<\1>', 'g')) AS vowels_all,
+        sha256(VOWELS) AS vowels,
         sha256(array_to_string(words[1:3], '|')) AS first_batch, ((len(words) + 2) // 3)::BIGINT AS n_batches,
         sha256(array_to_string(list_filter(words, lambda x: length(x) > 3), ' ')) AS long_words,
         upper(left(lang, 1)) || lower(substr(lang, 2)) AS capitalized FROM w""",
@@ -353,16 +353,16 @@ SQL: dict[str, str] = {
         'fallback' AS defaulted, 'A,b,' || event_type AS sorted,
         CASE event_type WHEN 'click' THEN 'Click,VIEW' WHEN 'view' THEN 'Click,view' ELSE 'Click,' || event_type || ',VIEW' END AS uniques
         FROM (SELECT *, 11 - length(event_type) AS pad FROM t)""",
-    "draft_parsers": _DRAFTS + """ SELECT raw_sha256, 'fake' AS model, CASE WHEN n % 3 = 2 THEN 'failed' ELSE 'drafted' END AS status,
-        (CASE n % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END)::BIGINT AS attempts,
-        CASE WHEN n % 3 < 2 THEN 'csv_' || n END AS parser FROM dead""",
+    "draft_parsers": _DRAFTS + """ SELECT raw_sha256, 'fake' AS model, CASE WHEN n = 2 THEN 'failed' ELSE 'drafted' END AS status,
+        (CASE n WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END)::BIGINT AS attempts,
+        CASE WHEN n < 2 THEN 'csv_' || id END AS parser FROM dead""",
     "draft_totals": _DRAFTS + """ SELECT 'fake' AS model, status, sum(k)::BIGINT AS attempts FROM (
-        SELECT 'success' AS status, 1 AS k FROM dead WHERE n % 3 < 2 UNION ALL SELECT 'error', 3 FROM dead WHERE n % 3 = 2)
+        SELECT 'success' AS status, 1 AS k FROM dead WHERE n < 2 UNION ALL SELECT 'error', 3 FROM dead WHERE n = 2)
         GROUP BY status""",
     "dlq_after_drafting": _DRAFTS + """ SELECT sha256(payload) AS raw_sha256, 'AI generation failed:' AS error_head,
-        payload AS raw_payload FROM routed JOIN (SELECT raw_sha256 AS h FROM dead WHERE n % 3 > 0) ON h = sha256(payload)""",
+        payload AS raw_payload FROM routed JOIN (SELECT raw_sha256 AS h FROM dead WHERE n > 0) ON h = sha256(payload)""",
     "promote_drafts": _DRAFTS + """ SELECT raw_sha256, CASE WHEN raw_sha256 < '8' THEN 'active' ELSE 'pending' END AS status
-        FROM dead WHERE n % 3 < 2""",
+        FROM dead WHERE n < 2""",
     "stream_normalize": ALL + """ SELECT (CASE ocsf_class WHEN 'authentication' THEN 3002 WHEN 'network_activity' THEN 4001
         WHEN 'base_event' THEN 0 ELSE -1 END)::BIGINT AS class_uid, CASE WHEN parser IS NULL THEN 'unmatched' ELSE '' END AS reason,
         count(*) AS records, count(DISTINCT sha256(payload)) AS payloads FROM routed GROUP BY ALL""",
@@ -375,4 +375,7 @@ SQL["coerce_types"] = r"""WITH t AS (SELECT event_id, CASE event_id % 8 WHEN 0 T
     CASE WHEN regexp_matches(text, '^\s*-?\d+(\.\d+)?\s*$') THEN trim(text)::DOUBLE END AS f FROM t)
   SELECT event_id, text, i AS as_int, f AS as_float, lower(text) IN ('true', '1', 'yes') AS as_bool,
     CASE WHEN text <> '' THEN i ELSE 7 END AS int_or_default FROM n"""
-SQL["expr_text"] = SQL["expr_text"].replace("vowels_all", "vowels")
+_vowels = "text"
+for _v in "aeiou":
+    _vowels = f"regexp_replace({_vowels}, '{_v}+', '<{_v}>', 'g')"
+SQL["expr_text"] = SQL["expr_text"].replace("VOWELS", _vowels)

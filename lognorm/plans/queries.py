@@ -167,10 +167,10 @@ def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
     )
     return read_table(spark, sf, "events").select("event_id", text.alias("text")).select(
         "event_id", "text",
-        coerce(F.col("text"), "int").alias("as_int"),
-        coerce(F.col("text"), "float").alias("as_float"),
-        coerce(F.col("text"), "bool").alias("as_bool"),
-        F.when(F.length("text") > 0, coerce(F.col("text"), "int")).otherwise(7).alias("int_or_default"),
+        coerce("text", "int").alias("as_int"),
+        coerce("text", "float").alias("as_float"),
+        coerce("text", "bool").alias("as_bool"),
+        F.when(F.length("text") > 0, coerce("text", "int")).otherwise(7).alias("int_or_default"),
     )
 
 
@@ -561,15 +561,16 @@ def fake_generator(system: str, user: str) -> str:
     """Stands in for a model: some answers are good at once, some after a retry, some never."""
     payload = user.split("\n")[1]
     n = int("".join(c for c in payload.split(",")[0] if c.isdigit()) or 0)
+    kind = n // 3 % 3
     good = json.dumps({
         "name": f"csv_{n}", "version": "1.0.0", "author": "ai:fake", "created_at": "2026-09-06T00:00:00Z",
         "vendor": "shop", "log_format": "csv", "ocsf_class": "base_event", "ocsf_category_uid": 0,
         "ocsf_class_uid": 0, "match_patterns": [r"(?P<id>\d+),(?P<message>.*)"],
         "field_mappings": [{"ocsf_field": "message"}],
     })
-    if n % 3 == 0:
+    if kind == 0:
         return f"```json\n{good}\n```"
-    if n % 3 == 1:
+    if kind == 1:
         return good if "refused" in user else "[]"
     return '{"name": "half"}'
 

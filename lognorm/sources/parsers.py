@@ -70,7 +70,8 @@ class ParserDef:
 
     @property
     def group_names(self) -> list[str]:
-        return sorted({n for p in self.match_patterns for n in to_spark(p).names if n})
+        """Names of all patterns, in order of appearance."""
+        return list(dict.fromkeys(n for p in self.match_patterns for n in to_spark(p).names if n))
 
 
 def violations(doc: Any) -> list[tuple[str, str]]:

@@ -7,8 +7,7 @@ timestamp only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,57 +16,48 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, raw, ingest_ts, source``."""
-    events = read_table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")
+    events = read_table(spark, sf_dir, "events").selectExpr(
+        "event_id AS e", "user_id AS u", "event_type", "CAST(ts AS TIMESTAMP) AS ts",
+        "explode(CASE WHEN event_id % 10 = 0 THEN array(0L, event_id % 700) ELSE array(0L) END) AS delay",
     )
-    delay = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.col("event_id") % 700)).otherwise(
-        F.array(F.lit(0).cast("long")))
-    arrivals = events.select("*", F.explode(delay).alias("delay"))
-    return arrivals.select(
-        "event_id",
-        F.encode(_line(), "UTF-8").alias("raw"),
-        F.timestamp_micros(F.unix_micros("ts") + F.col("delay") * 1_000_000).alias("ingest_ts"),
-        F.col("event_type").alias("source"),
+    return events.selectExpr(
+        "e AS event_id",
+        f"encode({_LINE}, 'UTF-8') AS raw",
+        "timestamp_micros(unix_micros(ts) + delay * 1000000) AS ingest_ts",
+        "event_type AS source",
     )
 
 
-def _line() -> Column:
-    e, u = F.col("event_id"), F.col("user_id")
-    ip = [u % 256, e % 256]
-    port = 1024 + e % 60000
-    syslog_time = F.date_format("ts", "MMM dd HH:mm:ss")
-    iso_time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    f = F.format_string
-
-    def sshd(text: str, *args: Column) -> Column:
-        return f(f"%s host%d sshd[%d]: {text} from 10.0.%d.%d port %d ssh2",
-                 syslog_time, u % 50, e % 30000, *args, *ip, port)
-
-    def peers(source: str, target: str) -> str:
-        return f"{source}:10.0.%d.%d/%d {target}:192.168.1.%d/443"
-
-    by_two, by_three = e % 2, e % 3
-    return (
-        F.when(F.col("event_type") == "signup", F.when(by_two == 0, sshd("Accepted password for user%d", u))
-               .otherwise(sshd("Accepted publickey for user%d", u)))
-        .when(F.col("event_type") == "error", F.when(by_two == 0, sshd("Failed password for invalid user user%d", u))
-              .otherwise(sshd("Failed password for user%d", u)))
-        .when(F.col("event_type") == "click",
-              F.when(by_three == 0, f("%%ASA-6-302013: Built inbound TCP connection %d for outside:10.0.%d.%d/%d "
-                                      "(10.0.%d.%d/%d) to inside:192.168.1.%d/443 (192.168.1.%d/443)",
-                                      e, *ip, port, *ip, port, u % 256, u % 256))
-              .when(by_three == 1, f("%%ASA-6-302014: Teardown UDP connection %d for " + peers("outside", "to inside")
-                                     + " duration 0:%02d:%02d bytes %d",
-                                     e, *ip, port, u % 256, e % 60, u % 60, e * 7))
-              .otherwise(f('%%ASA-4-106023: Deny tcp src ' + peers("outside", "dst inside")
-                           + ' by access-group "outside_in"', *ip, port, u % 256)))
-        .when(F.col("event_type") == "view",
-              F.when(by_two == 0, f('<%d>1 %s host%d app%d %d ID%d [meta seq="%d"] page viewed by user%d',
-                                    e % 192, iso_time, u % 50, u % 7, e % 30000, e % 100, e, u))
-              .otherwise(f("<%d>%s host%d app%d: page viewed by user%d", e % 192, syslog_time, u % 50, u % 7, u)))
-        .otherwise(
-            F.when(by_three == 0, f('{"EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}',
-                                    4000 + e % 1000, u % 500, e))
-            .when(by_three == 1, f('{"eventMessage":"order %d placed","subsystem":"com.example.shop%d"}', e, u % 9))
-            .otherwise(f("%d,%s,order,user%d,THREAT,denied", e, iso_time, u)))
-    )
+_SYSLOG_TIME = "date_format(ts, 'MMM dd HH:mm:ss')"
+_ISO_TIME = "date_format(ts, 'yyyy-MM-dd\\'T\\'HH:mm:ss\\'Z\\'')"
+_IP = "u % 256, e % 256"
+_PORT = "1024 + e % 60000"
+
+
+def _sshd(words: str) -> str:
+    return (f"format_string('%s host%d sshd[%d]: {words} from 10.0.%d.%d port %d ssh2', "
+            f"{_SYSLOG_TIME}, u % 50, e % 30000, u, {_IP}, {_PORT})")
+
+
+_LINE = f"""CASE event_type
+  WHEN 'signup' THEN CASE WHEN e % 2 = 0 THEN {_sshd("Accepted password for user%d")}
+    ELSE {_sshd("Accepted publickey for user%d")} END
+  WHEN 'error' THEN CASE WHEN e % 2 = 0 THEN {_sshd("Failed password for invalid user user%d")}
+    ELSE {_sshd("Failed password for user%d")} END
+  WHEN 'click' THEN CASE e % 3
+    WHEN 0 THEN format_string('%%ASA-6-302013: Built inbound TCP connection %d for outside:10.0.%d.%d/%d (10.0.%d.%d/%d) to inside:192.168.1.%d/443 (192.168.1.%d/443)',
+      e, {_IP}, {_PORT}, {_IP}, {_PORT}, u % 256, u % 256)
+    WHEN 1 THEN format_string('%%ASA-6-302014: Teardown UDP connection %d for outside:10.0.%d.%d/%d to inside:192.168.1.%d/443 duration 0:%02d:%02d bytes %d',
+      e, {_IP}, {_PORT}, u % 256, e % 60, u % 60, e * 7)
+    ELSE format_string('%%ASA-4-106023: Deny tcp src outside:10.0.%d.%d/%d dst inside:192.168.1.%d/443 by access-group "outside_in"',
+      {_IP}, {_PORT}, u % 256) END
+  WHEN 'view' THEN CASE WHEN e % 2 = 0
+    THEN format_string('<%d>1 %s host%d app%d %d ID%d [meta seq="%d"] page viewed by user%d',
+      e % 192, {_ISO_TIME}, u % 50, u % 7, e % 30000, e % 100, e, u)
+    ELSE format_string('<%d>%s host%d app%d: page viewed by user%d', e % 192, {_SYSLOG_TIME}, u % 50, u % 7, u) END
+  ELSE CASE e % 3
+    WHEN 0 THEN format_string('{{"EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}}',
+      4000 + e % 1000, u % 500, e)
+    WHEN 1 THEN format_string('{{"eventMessage":"order %d placed","subsystem":"com.example.shop%d"}}', e, u % 9)
+    ELSE format_string('%d,%s,order,user%d,THREAT,denied', e, {_ISO_TIME}, u) END
+  END"""
