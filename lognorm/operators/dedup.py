@@ -3,9 +3,13 @@
 A record is kept when no record with the same hash was *kept* within the last W seconds; a
 dropped duplicate does not extend the window, and exactly W is still a duplicate. Finding
 the kept times of one hash is a chain: from each kept time, the first time more than W
-later. ``dedup_window`` works on the narrow (hash, time) pairs in three tiers:
+later.
 
-1. all times of the hash lie within W (includes every unique record): the earliest is kept;
+First the narrow (hash, time) pairs are counted per hash; only hashes that occur more than
+once are written down. Where those are few enough to broadcast, records of all other hashes
+pass without any shuffle. For the rest the kept times come in three tiers:
+
+1. all times of the hash lie within W: the earliest is kept;
 2. few records: the sorted times are folded inside one row;
 3. hot hashes (more than ``hot_rows`` records): the chain is solved as a parallel scan.
    Each window of W holds at most one kept time, so a run of windows acts as a step
@@ -43,8 +47,8 @@ def dedup_window(
 ) -> DataFrame:
     """Records accepted by the window, by ``sha2(raw)`` and ``ingest_ts``.
 
-    Of records equal in hash and time one is kept. Counts the hot hashes first (one narrow
-    aggregation); everything else is lazy.
+    Of records equal in hash and time one is kept. The counting pass runs at once; the rest
+    is lazy.
     """
     if not enabled:
         return df
@@ -53,21 +57,41 @@ def dedup_window(
         _KEY: F.unhex(F.col("raw_sha256") if "raw_sha256" in df.columns else F.sha2("raw", 256)),
         _TIME: F.unix_micros("ingest_ts"),
     })
-    kept = kept_times(keyed.select(_KEY, _TIME), window, hot_rows, task_times)
-    # Equal (hash, time) rows collapse map-side before they are shuffled.
-    return keyed.dropDuplicates([_KEY, _TIME]).join(kept, [_KEY, _TIME], "left_semi").drop(_KEY, _TIME)
+    spans = _spans(keyed.select(_KEY, _TIME))
+    repeated = cut_lineage(spans.filter("n > 1"))
+    found = repeated.agg(F.count("*").alias("hashes")).first()["hashes"]
+    if not found:
+        return df
+    if found <= BROADCAST_ROWS:
+        few = F.broadcast(repeated.select(_KEY))
+        single, rest = keyed.join(few, _KEY, "left_anti"), keyed.join(few, _KEY, "left_semi")
+        kept = kept_times(rest.select(_KEY, _TIME), window, hot_rows, task_times, repeated)
+        return single.unionByName(_accepted(rest, kept)).drop(_KEY, _TIME)
+    once = spans.filter("n = 1").select(_KEY, F.col("lo").alias(_TIME))
+    kept = kept_times(keyed.select(_KEY, _TIME), window, hot_rows, task_times, repeated)
+    return _accepted(keyed, once.unionByName(kept)).drop(_KEY, _TIME)
 
 
-def kept_times(times: DataFrame, window: int, hot_rows: int, task_times: int) -> DataFrame:
-    """Kept (hash, time) pairs of a (hash, time) table; times and window in microseconds."""
-    spans = times.groupBy(_KEY).agg(
-        F.count("*").alias("n"), F.min(_TIME).alias("lo"), F.max(_TIME).alias("hi")
-    )
-    short = F.col("hi") - F.col("lo") <= window
+def _spans(times: DataFrame) -> DataFrame:
+    return times.groupBy(_KEY).agg(F.count("*").alias("n"), F.min(_TIME).alias("lo"), F.max(_TIME).alias("hi"))
+
+
+def _accepted(keyed: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows equal in hash and time collapse map-side before they are shuffled."""
+    return keyed.dropDuplicates([_KEY, _TIME]).join(kept, [_KEY, _TIME], "left_semi").select(keyed.columns)
+
+
+def kept_times(
+    times: DataFrame, window: int, hot_rows: int, task_times: int, spans: DataFrame | None = None
+) -> DataFrame:
+    """Kept (hash, time) pairs of a (hash, time) table; times and window in microseconds.
+
+    ``spans`` restricts the work to its hashes and must be cheap to read again.
+    """
+    spans = cut_lineage(_spans(times)) if spans is None else spans
+    short, is_hot = F.col("hi") - F.col("lo") <= window, F.col("n") > hot_rows
     kept = spans.filter(short).select(_KEY, F.col("lo").alias(_TIME))
-    # Hashes that recur beyond W: few in practice, so written down once.
-    long = cut_lineage(spans.filter(~short))
-    is_hot = F.col("n") > hot_rows
+    long = spans.filter(~short)
     found = long.agg(
         F.count_if(~is_hot).alias("folded"), F.count_if(is_hot).alias("hot"),
         F.max(F.when(is_hot, F.expr(f"(hi - lo) div {window} + 1"))).alias("windows"),

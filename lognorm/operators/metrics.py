@@ -43,26 +43,21 @@ def metrics_table(processed: DataFrame, ingested: DataFrame, dlq_mode: str = "ma
     counts = processed.groupBy("parser", "status").agg(F.count("*").alias("n"))
     n, parser, status = F.col("n"), F.col("parser"), F.col("status")
 
-    def sample(when: Column, metric: str, label: Column) -> Column:
+    def sample(when: Column, metric: str, label: Column, value: Column = n) -> Column:
         return F.when(when, F.struct(
-            F.lit(metric).alias("metric"), label.cast("string").alias("label"), n.alias("value")))
+            F.lit(metric).alias("metric"), label.cast("string").alias("label"), value.alias("value")))
 
+    always, no_label = F.lit(True), F.lit("")
     dlq_label = F.create_map(*[F.lit(x) for s, r in REASONS.items() for x in (s, f"{r},{dlq_mode}")])[status]
-    derived = counts.select(F.explode(F.array_compact(F.array(
+    samples = counts.select(F.explode(F.array_compact(F.array(
         sample(parser.isNotNull(), "matched_total", parser),
         sample(status == INVALID, "validation_failed_total", parser),
         sample(dlq_label.isNotNull(), "dlq_total", dlq_label),
-        sample(F.lit(True), "processed_total", F.lit("")),
+        sample(always, "dedup_total", no_label, -n),  # skipped = taken in - processed
     ))).alias("s")).select("s.*")
-    taken_in = ingested.agg(F.count("*").alias("value")).select(
-        F.lit("ingest_total").alias("metric"), F.lit("").alias("label"), "value")
-    sums = derived.unionByName(taken_in).groupBy("metric", "label").agg(F.sum("value").alias("value"))
-    # Skipped duplicates: taken in but not processed.
-    sign = F.when(F.col("metric") == "ingest_total", F.col("value")).when(
-        F.col("metric") == "processed_total", -F.col("value"))
-    skipped = sums.agg(F.coalesce(F.sum(sign), F.lit(0)).alias("value")).select(
-        F.lit("dedup_total").alias("metric"), F.lit("").alias("label"), "value")
-    return sums.filter(F.col("metric") != "processed_total").unionByName(skipped)
+    taken_in = ingested.agg(F.count("*").alias("n")).select(F.explode(F.array(
+        sample(always, "ingest_total", no_label), sample(always, "dedup_total", no_label))).alias("s")).select("s.*")
+    return samples.unionByName(taken_in).groupBy("metric", "label").agg(F.sum("value").alias("value"))
 
 
 def totals(metrics: DataFrame) -> DataFrame:

@@ -52,11 +52,13 @@ def normalize(
     defs: list[ParserDef],
     enum_mode: str = "code",
     unmapped_mode: str = "merge",
+    fenced: bool = True,
 ) -> DataFrame:
     """Adds ``event`` (null when no definition matches) and ``type_errors``.
 
     ``enum_mode="instance"`` makes every explicitly supplied enum value an error;
     ``unmapped_mode="replace"`` lets left-over captures displace mapped ``unmapped.*`` keys.
+    ``fenced=False`` is for callers that put the fence further up.
     """
     if enum_mode not in ENUM_MODES or unmapped_mode not in UNMAPPED_MODES:
         raise ValueError(f"enum_mode is one of {ENUM_MODES}, unmapped_mode of {UNMAPPED_MODES}")
@@ -72,10 +74,18 @@ def normalize(
         f"coalesce({type_errors}, {no_errors}) AS type_errors",
     )
     helper = [leaf.column for leaf in used] + ["leaf_unmapped"]
-    event = named_struct({"event": _event(defs, {leaf.path for leaf in used})})
-    # inline, not a plain column: filters on event members then stay above it, and Catalyst
-    # does not unfold the mapping of every leaf into them.
-    return flat.select("*", F.expr(f"inline(array({event}))")).drop(*helper)
+    mapped = flat.withColumn("event", F.expr(_event(defs, {leaf.path for leaf in used}))).drop(*helper)
+    return fence(mapped, ["event"]) if fenced else mapped
+
+
+def fence(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Passes columns through ``inline``, so that filters on them stay above.
+
+    Pushed below, a filter on an event member would unfold the mapping of every leaf into
+    itself, and planning would take minutes.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.expr(f"inline(array({named_struct({c: c for c in columns})}))"))
 
 
 # ------------------------------------------------------------------ one definition

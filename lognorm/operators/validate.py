@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lognorm.functions.sql import array, case, literal, named_struct
-from lognorm.operators.normalize import error
+from lognorm.functions.sql import array, case, literal
+from lognorm.operators.normalize import error, fence
 from lognorm.schema import ALL_FIELDS, CLASS_FIELDS, ENGINE_FIELDS, ENUMS, OBJECTS, VALIDATION_PREFIX, members
 from lognorm.sources.parsers import ParserDef
 
@@ -24,10 +24,7 @@ def validate(df: DataFrame, defs: list[ParserDef], enum_mode: str = "code") -> D
     errors = case([("parser_id IS NOT NULL", found)], "type_errors")
     status = case([("parser_id IS NULL", literal(UNMATCHED)), ("size(errors) > 0", literal(INVALID))], literal(SUCCESS))
     checked = df.withColumn("errors", F.expr(errors)).drop("type_errors")
-    # inline keeps filters on the outcome from copying the whole validation into themselves.
-    outcome = named_struct({"errors": "errors", "status": status})
-    others = [c for c in checked.columns if c != "errors"]
-    return checked.select(*others, F.expr(f"inline(array({outcome}))"))
+    return fence(checked.withColumn("status", F.expr(status)), ["event", "errors", "status"])
 
 
 def error_text(errors: Column) -> Column:

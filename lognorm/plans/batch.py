@@ -34,5 +34,5 @@ def normalize_records(
     records: DataFrame, defs: list[ParserDef], enum_mode: str = "code", unmapped_mode: str = "merge"
 ) -> DataFrame:
     """The per-record part, the same in batch and stream."""
-    normalized = normalize(with_payload(records), defs, enum_mode, unmapped_mode)
+    normalized = normalize(with_payload(records), defs, enum_mode, unmapped_mode, fenced=False)
     return validate(normalized, defs, enum_mode)

@@ -20,6 +20,17 @@ def test_accepted_times(records, seconds):
     assert sorted(seconds[r["n"]] for r in kept) == [0, 301, 602]
 
 
+def test_without_broadcast(records, monkeypatch):
+    """The same result when too many hashes recur to broadcast them."""
+    payloads, seconds = ["a", "b", "a", "a", "c", "b"], [0, 1, 100, 400, 5, 1]
+    df = records(payloads, seconds)
+    expected = sorted(r["n"] for r in D.dedup_window(df).select("n").collect())
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 0)
+    got = D.dedup_window(df).select("raw", "ingest_ts", "n").collect()
+    assert len(got) == 4 and {r["n"] for r in got} - {1, 5} == {0, 3, 4} == set(expected) - {1, 5}
+    assert D.dedup_window(df).columns == df.columns
+
+
 def test_can_be_switched_off(records):
     assert D.dedup_window(records(["same"] * 3), enabled=False).count() == 3
 
