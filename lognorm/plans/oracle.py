@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from lognorm.builtin_rules import builtin_parsers
 from lognorm.functions.triage import HARM_WORDS
 from lognorm.operators.metrics import LATENCY_BUCKETS
@@ -84,13 +86,10 @@ def _groups(parser: str) -> str:
     first = sum(len(d.match_patterns) for d in DEFS[:DEFS.index(definition)])
     parts = []
     for i, p in enumerate(definition.match_patterns):
-        import re
-        own = sorted(re.compile(p).groupindex, key=re.compile(p).groupindex.get)
+        own = list(re.compile(p).groupindex)
         listed = ", ".join(text(n) for n in own)
         cols = ", ".join(f"g.{n} AS {n}" if n in own else f"NULL::VARCHAR AS {n}" for n in definition.group_names)
         anchored = text("^(?:" + p + ")")
-        total = re.compile(p).groups
-        assert total == len(own)
         parts.append(f"SELECT event_id, ingest_us, ingest_ts, payload, pattern_id, {cols} FROM (SELECT *, "
                      f"regexp_extract(payload, {anchored}, [{listed}]) AS g FROM routed WHERE pattern_id = {first + i})")
     return "(" + " UNION ALL BY NAME ".join(parts) + ")"

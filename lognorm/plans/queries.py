@@ -278,10 +278,8 @@ def dlq_records(spark: SparkSession, sf: str) -> DataFrame:
 def dlq_daily(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_folder(spark, "dlq")
     outputs.write_dlq_daily(outputs.dlq_records(normalized(spark, sf)), path)
-    stored = spark.read.option("recursiveFileLookup", False)
-    return (
-        stored.schema(read_dlq(spark, path).schema.add("dlq_date", "string")).json(path)
-        .groupBy("dlq_date", "error").agg(F.count("*").alias("records"), F.min("raw_sha256").alias("first_sha256")))
+    by_day = read_dlq(spark, path).groupBy(F.col("dlq_date").cast("string").alias("dlq_date"), "error")
+    return by_day.agg(F.count("*").alias("records"), F.min("raw_sha256").alias("first_sha256"))
 
 
 @query
