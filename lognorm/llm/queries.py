@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from lognorm.llm.decontaminate import contained_items
 from lognorm.llm.secret_scan import find_secrets
 from lognorm.llm.sentencepiece_codec import encoded
+from lognorm.llm.simhash import near_duplicates
+from lognorm.llm.url_filter import LISTED_PARTS, LOWER, RULES, UPPER, hosts_with_parts, judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -30,6 +32,12 @@ def op4_sentencepiece(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"), check=True)
 
 
+@query
+def op8_simhash(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def span_list(column: str):
     return F.array_join(F.transform(column, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
@@ -67,3 +75,26 @@ hits AS (SELECT d.doc_id, o.item_id, count(*) AS shared FROM own o JOIN doc_s d
 SELECT doc_id, item_id, shared, shingles, shared / shingles AS containment
 FROM hits JOIN sizes USING (item_id) WHERE shared >= 0.8 * shingles - 1e-9
 """
+
+
+@query
+def op3_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return judge(pages, hosts_with_parts(pages))
+
+
+_AFTER = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
+_FITS = " UNION ALL ".join(
+    f"SELECT page_id, url, '{h + p}' AS rule, '{kind}' AS kind FROM parts "
+    f"WHERE (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for kind, h, p in RULES)
+SQL["op3_url_filter"] = f"""
+WITH rest AS (SELECT page_id, url, {_AFTER} AS r FROM pages),
+cut AS (SELECT page_id, url, regexp_extract(r, '^[^/?#]*') AS raw, r FROM rest),
+parts AS (SELECT page_id, url, translate(raw, '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(substr(r, length(raw) + 1), '^[^?#]*') AS path FROM cut),
+fits AS ({_FITS}),
+best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(kind, length(rule)) AS kind FROM fits GROUP BY page_id)
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.kind, CASE
+    WHEN len(list_intersect(regexp_split_to_array(p.host, '[.-]'), {list(LISTED_PARTS)})) > 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts p LEFT JOIN best b USING (page_id)
+"""
