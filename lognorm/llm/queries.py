@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import html.entities
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lognorm.llm import warc
 from lognorm.llm.decontaminate import contained_items
 from lognorm.llm.secret_scan import find_secrets
 from lognorm.llm.sentencepiece_codec import encoded
 from lognorm.llm.simhash import near_duplicates
 from lognorm.llm.url_filter import LISTED_PARTS, LOWER, RULES, UPPER, hosts_with_parts, judge
+from lognorm.llm.warc import BASE32, derivatives, responses
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -98,3 +101,62 @@ SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.kind, CASE
     WHEN len(list_intersect(regexp_split_to_array(p.host, '[.-]'), {list(LISTED_PARTS)})) > 0 THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts p LEFT JOIN best b USING (page_id)
 """
+
+
+@query
+def op5_warc_derivatives(spark, sf_dir):
+    return derivatives(responses(table(spark, sf_dir, "pages")), ["page_id"])
+
+
+def _sql_text(s: str) -> str:
+    """A SQL expression for a string with control characters."""
+    return "'" + s.replace("'", "''").replace("\r", "' || chr(13) || '").replace("\n", "' || chr(10) || '") + "'"
+
+
+def _sql_digest(x: str) -> str:
+    return f"""'sha1:' || list_aggregate(list_transform(range(32), lambda i: substr('{BASE32}', 1 + CAST(
+        (CAST('0x' || substr(sha1({x}), 1 + 5 * CAST(floor(i / 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), 'string_agg', '')"""
+
+
+def _sql_id(kind: str, *parts: str) -> str:
+    h = f"md5({' || chr(10) || '.join([repr(kind), *parts])})"
+    return (f"'<urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-3' || substr({h}, 14, 3) || '-a' || "
+            f"substr({h}, 18, 3) || '-' || substr({h}, 21, 12) || '>'")
+
+
+def _sql_entities(x: str) -> str:
+    names = ", ".join(f"'{k}': chr({v})" for k, v in sorted(html.entities.name2codepoint.items()))
+    name = f"regexp_extract(p, '{warc.ENTITY}', 1)"
+    number = f"CASE WHEN regexp_matches({name}, '^#[xX]') THEN CAST('0x' || substr({name}, 3) AS BIGINT) WHEN starts_with({name}, '#') THEN CAST(substr({name}, 2) AS BIGINT) END"
+    char = f"""CASE WHEN ({number}) BETWEEN 1 AND 55295 OR ({number}) BETWEEN 57344 AND 1114111 THEN chr(CAST({number} AS INT))
+        ELSE map_extract_value(MAP {{{names}}}, {name}) END"""
+    return f"""(string_split({x}, '&')[1] || coalesce(array_to_string(list_transform(string_split({x}, '&')[2:], lambda p:
+        coalesce(({char}) || substr(p, length({name}) + 2), '&' || p)), ''), ''))"""
+
+
+def _sql_plain(x: str) -> str:
+    gone = f"regexp_replace(regexp_replace(regexp_replace({x}, {_sql_text(warc.HIDDEN)}, ' ', 'g'), {_sql_text(warc.BREAKS)}, chr(10), 'g'), '{warc.TAGS}', '', 'g')"
+    return _sql_entities(gone)
+
+
+_FIELDS = ["'source-record-id: ' || refers_to", "'conversion-record-id: ' || conversion_id", "'source-block-digest: ' || sbd",
+           "'source-payload-digest: ' || spd", "'source-content-length: ' || strlen(source)", "'title: ' || title", "'language: ' || language",
+           *[f"'source-http: ' || {_sql_text(line)}" for line in warc.HTTP_HEADERS.split('\r\n')]]
+SQL["op5_warc_derivatives"] = f"""
+WITH src AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS html,
+        {_sql_text(warc.HTTP_HEADERS)} || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') AS source FROM pages),
+ids AS (SELECT *, {_sql_id('response', 'page_id', 'target_uri')} AS refers_to, {_sql_digest('source')} AS sbd, {_sql_digest('html')} AS spd FROM src),
+ids2 AS (SELECT *, {_sql_id('conversion', 'refers_to')} AS conversion_id, {_sql_id('metadata', 'refers_to')} AS metadata_id,
+        regexp_extract(html, {_sql_text(warc.TITLE)}, 1) AS raw_title, regexp_extract(html, {_sql_text(warc.LANGUAGE)}, 1) AS language,
+        {_sql_plain('html')} AS visible FROM ids),
+ready AS (SELECT *, regexp_replace(regexp_replace({_sql_entities('raw_title')}, '[ \\t\\r\\n]+', ' ', 'g'), '^ | $', '', 'g') AS title,
+        regexp_replace(regexp_replace(regexp_replace(visible, '[ \\t\\r\\f\\x0B\\x{{00A0}}]{{2,}}|[\\t\\r\\f\\x0B\\x{{00A0}}]', ' ', 'g'),
+            ' ?\\n[ \\n]*', chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g') AS plain FROM ids2),
+made AS (
+    SELECT page_id, refers_to, target_uri, conversion_id AS record_id, 'conversion' AS warc_type, 'text/plain; charset=utf-8' AS content_type, plain AS block FROM ready
+    UNION ALL
+    SELECT page_id, refers_to, target_uri, metadata_id, 'metadata', 'application/warc-fields',
+        {" || chr(13) || chr(10) || ".join(_FIELDS)} || chr(13) || chr(10) FROM ready)
+SELECT page_id, record_id, warc_type, refers_to, target_uri, '{warc.DATE}' AS date, content_type, strlen(block) AS content_length,
+    {_sql_digest('block')} AS block_digest, {_sql_digest('block')} AS payload_digest, block FROM made
+"""
