@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lognorm.llm import warc
+from lognorm.llm import toxicity, warc
+from lognorm.llm.common import fold
 from lognorm.llm.decontaminate import contained_items
 from lognorm.llm.secret_scan import find_secrets
 from lognorm.llm.sentencepiece_codec import encoded
@@ -160,3 +161,15 @@ made AS (
 SELECT page_id, record_id, warc_type, refers_to, target_uri, '{warc.DATE}' AS date, content_type, strlen(block) AS content_length,
     {_sql_digest('block')} AS block_digest, {_sql_digest('block')} AS payload_digest, block FROM made
 """
+
+
+def held_out(key, folds: int, remainder: int):
+    return (fold(key, folds) == remainder).alias("held_out")
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), toxicity.FOLDS, toxicity.HELD_OUT), "score", "predicted")

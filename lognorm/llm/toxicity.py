@@ -1,6 +1,6 @@
 """Toxicity by compression distance: zstandard dictionaries of toxic and of ordinary text.
 
-A window is a word with its boundaries, written three times so that its frame is long enough
+A window is a word (a run of letters) with its boundaries, written three times so that its frame is long enough
 for zstandard to compress at all. Two dictionaries share one base, trained on ordinary text, so
 that ordinary windows cost the same under both; one adds a part trained on toxic text, the
 other an equally large part trained on ordinary text. What a window's two compressed lengths
@@ -36,7 +36,7 @@ from lognorm.llm.common import column_of, fold, fold_of, keep_rows, map_slices,
 
 LEVEL = 19
 REPEATS = 3
-BASE_BYTES, PART_BYTES = 65_536, 1024
+BASE_BYTES, PART_BYTES = 65_536, 2048
 LEAST_SHARE, LEAST_LIFT = 0.02, 10.0
 SAMPLE, SAMPLE_CHARS = 3_000, 16_000
 FOLDS, HELD_OUT = 5, 0
@@ -45,9 +45,13 @@ WINDOW_BYTES = 64
 REMEMBER = 300_000
 
 
+#: ASCII signs and digits part words here: a sign stuck to a word must not hide it.
+_PARTED = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
+
+
 def windows(text: bytes) -> list[bytes]:
     out = []
-    for w in words_of(text):
+    for w in text.lower().translate(_PARTED).split():
         if len(w) <= WINDOW_BYTES:
             out.append(w)
         else:
