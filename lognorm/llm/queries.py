@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lognorm.llm import toxicity, warc
+from lognorm.llm import quality, toxicity, warc
 from lognorm.llm.common import fold
 from lognorm.llm.decontaminate import contained_items
 from lognorm.llm.secret_scan import find_secrets
@@ -173,3 +173,11 @@ def op1_toxicity(spark, sf_dir):
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model).select(
         "doc_id", held_out(F.col("doc_id"), toxicity.FOLDS, toxicity.HELD_OUT), "score", "predicted")
+
+
+@query
+def op7_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), quality.FOLDS, quality.HELD_OUT), "score", "predicted")
