@@ -16,7 +16,6 @@ file is read back, which its ``complete`` flag then shows (length against Conten
 
 from __future__ import annotations
 
-import html as html_module
 import html.entities
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,9 +77,12 @@ def _entities(text: Column) -> Column:
         char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(name != "", F.element_at(names, name))
         return F.when(char.isNotNull(), F.concat(char, F.substr(piece, F.length(name) + 2))).otherwise(F.concat(F.lit("&"), piece))
 
-    pieces = F.split(text, "&", -1)
-    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), one), ""))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    def joined(pieces: Column) -> Column:
+        rest = F.transform(F.slice(pieces, 2, F.size(pieces) - 1), one)
+        return F.when(F.size(pieces) == 1, F.get(pieces, F.lit(0))).otherwise(F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, "")))
+
+    # The lambda binds the pieces, so that the text they come from is made once.
+    return F.get(F.transform(F.array(F.split(text, "&", -1)), joined), F.lit(0))
 
 
 def plain_text(page: Column) -> Column:
@@ -143,19 +145,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     head = F.concat(F.lit("\r\n"), F.substr("value", F.lit(1), at - 1), F.lit("\r\n"))
     field = lambda name: F.regexp_extract("head", rf"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1)
     rows = rows.select(head.alias("head"), F.substr("value", at + 4).alias("rest"))
-    length = F.expr("try_cast(content_length AS BIGINT)")
-    rest = F.col("rest").cast("binary")
-    return rows.select(
+    found = rows.select(
         field("WARC-Record-ID").alias("record_id"), F.lower(field("WARC-Type")).alias("warc_type"),
         F.nullif(field("WARC-Refers-To"), F.lit("")).alias("refers_to"), field("WARC-Target-URI").alias("target_uri"),
-        field("WARC-Date").alias("date"), field("Content-Type").alias("content_type"), field("Content-Length").alias("content_length"),
-        field("WARC-Block-Digest").alias("block_digest"), field("WARC-Payload-Digest").alias("payload_digest"), "rest",
-    ).withColumn("content_length", length).withColumn(
-        "complete", F.coalesce(F.octet_length("rest") >= F.col("content_length"), F.lit(False))).withColumn(
-        "block", F.substring(rest, 1, 2**31 - 1).cast("string")).withColumn(
-        "block", F.expr("CAST(substring(CAST(rest AS BINARY), 1, CAST(content_length AS INT)) AS STRING)")).select(*COLUMNS, "complete")
-
-
-def unescape(text: str) -> str:
-    """What ``plain_text`` does to character references, for tests."""
-    return html_module.unescape(text)
+        field("WARC-Date").alias("date"), field("Content-Type").alias("content_type"),
+        field("Content-Length").try_cast("long").alias("content_length"), field("WARC-Block-Digest").alias("block_digest"),
+        field("WARC-Payload-Digest").alias("payload_digest"), F.col("rest").cast("binary").alias("rest"))
+    return found.select(
+        *COLUMNS[:-1], F.substring("rest", F.lit(1), F.coalesce(F.col("content_length"), F.length("rest")).cast("int")).cast("string").alias("block"),
+        F.coalesce(F.length("rest") >= F.col("content_length"), F.lit(False)).alias("complete"))
