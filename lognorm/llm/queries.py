@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lognorm.llm import quality, toxicity, warc
 from lognorm.llm.common import fold
 from lognorm.llm.decontaminate import contained_items
+from lognorm.llm.nearest import nearest
 from lognorm.llm.secret_scan import find_secrets
 from lognorm.llm.sentencepiece_codec import encoded
 from lognorm.llm.simhash import near_duplicates
@@ -181,3 +182,8 @@ def op7_quality(spark, sf_dir):
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.scored(docs, model).select(
         "doc_id", held_out(F.col("doc_id"), quality.FOLDS, quality.HELD_OUT), "score", "predicted")
+
+
+@query
+def op2_nearest(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
