@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lognorm.llm import quality, toxicity, warc
+from lognorm.llm import language_model, quality, toxicity, warc
 from lognorm.llm.common import fold
 from lognorm.llm.decontaminate import contained_items
 from lognorm.llm.nearest import nearest
@@ -187,3 +187,11 @@ def op7_quality(spark, sf_dir):
 @query
 def op2_nearest(spark, sf_dir):
     return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+@query
+def op6_language_model(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    key = F.col("doc_id")
+    found = language_model.score_corpus(docs, fold(key, 7) != 2)
+    return found.select("doc_id", held_out(key, 7, 2), "n_tokens", "n_known", "train_tokens", "base_score", "score")
