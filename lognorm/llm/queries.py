@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lognorm.llm import language_model, quality, toxicity, warc
-from lognorm.llm.common import fold
+from lognorm.llm.common import fold, table
 from lognorm.llm.decontaminate import contained_items
 from lognorm.llm.nearest import nearest
 from lognorm.llm.secret_scan import find_secrets
@@ -28,10 +28,6 @@ def query(f: Query) -> Query:
     return f
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 @query
 def op4_sentencepiece(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"), check=True)

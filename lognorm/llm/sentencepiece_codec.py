@@ -250,8 +250,10 @@ def model_path(path: str) -> str:
     return shipped if shipped and os.path.exists(shipped) else path
 
 
-def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str = MODEL, check: bool = False) -> DataFrame:
-    """(doc_id, ids, n_tokens) of every text; with ``check`` also ``round_trip``: decoding gives the text."""
+def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str = MODEL,
+            check: bool = False, decode: bool = False) -> DataFrame:
+    """(doc_id, ids, n_tokens) of every text; with ``decode`` also ``decoded``, the text that the ids
+    give; with ``check`` also ``round_trip``: whether that is the text (the mark read as a space)."""
     source = text_or_empty(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     docs.sparkSession.sparkContext.addFile(model)
 
@@ -263,20 +265,21 @@ def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model:
             texts = [t.decode("utf-8", "replace") for t in texts_of(piece)]
             ids, sizes = encoder.encode(texts)
             offsets = np.concatenate([[0], np.cumsum(sizes)])
-            columns = [column_of(piece, "doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)), pa.array(sizes)]
-            names = ["doc_id", "ids", "n_tokens"]
-            if check:
+            out = {"doc_id": column_of(piece, "doc_id"), "n_tokens": pa.array(sizes),
+                   "ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))}
+            if check or decode:
                 listed = ids.tolist()
-                columns.append(pa.array([
-                    decoder.decode(listed[a:b]) == t.replace(MARK, " ")
-                    for a, b, t in zip(offsets.tolist(), offsets[1:].tolist(), texts)], pa.bool_()))
-                names.append("round_trip")
-            return pa.RecordBatch.from_arrays(columns, names)
+                back = [decoder.decode(listed[a:b]) for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+                out["decoded"] = pa.array(back, pa.string())
+                out["round_trip"] = pa.array([x == t.replace(MARK, " ") for x, t in zip(back, texts, strict=True)], pa.bool_())
+            return pa.RecordBatch.from_arrays([out[n] for n in names], names)
 
         return work
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return map_slices(source, make, f"doc_id {kind}, ids array<int>, n_tokens long" + ", round_trip boolean" * check)
+    schema = f"doc_id {kind}, ids array<int>, n_tokens long" + ", round_trip boolean" * check + ", decoded string" * decode
+    names = ["doc_id", "ids", "n_tokens"] + ["round_trip"] * check + ["decoded"] * decode
+    return map_slices(source, make, schema)
 
 
 def decoded(rows: DataFrame, doc_id: str = "doc_id", ids: str = "ids", model: str = MODEL) -> DataFrame:
