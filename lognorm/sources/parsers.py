@@ -19,7 +19,11 @@ from lognorm.functions.expressions import UnsafeExpression, rewrite
 from lognorm.functions.patterns import regex_error, to_spark
 from lognorm.schema import KNOWN_CLASS_UIDS, OCSF_CLASSES
 
-SEMVER = r"^\d+\.\d+\.\d+(?:-[\w.]+)?(?:\+[\w.]+)?$"
+# Semantic Versioning 2.0.0: no leading zeros in numbers, pre-release and build as dotted identifiers.
+_NUMBER = "(?:0|[1-9][0-9]*)"
+_PRE = "(?:0|[1-9][0-9]*|[0-9]*[A-Za-z-][0-9A-Za-z-]*)"
+_BUILD = "[0-9A-Za-z-]+"
+SEMVER = rf"^{_NUMBER}\.{_NUMBER}\.{_NUMBER}(?:-{_PRE}(?:\.{_PRE})*)?(?:\+{_BUILD}(?:\.{_BUILD})*)?$"
 AUTHOR = r"^(human$|ai:)"
 REQUIRED = (
     "name", "version", "author", "created_at", "vendor", "log_format", "match_patterns",
