@@ -6,8 +6,9 @@ the kept times of one hash is a chain: from each kept time, the first time more
 later.
 
 First the narrow (hash, time) pairs are counted per hash; only hashes that occur more than
-once are written down. Where those are few enough to broadcast, records of all other hashes
-pass without any shuffle. For the rest the kept times come in three tiers:
+once are written down. Records of all other hashes pass, as do those without payload or
+time, which have no duplicates. The repeated hashes are broadcast where they were counted to
+be few; otherwise Spark shuffles, with the same result. For the rest the kept times come in three tiers:
 
 1. all times of the hash lie within W: the earliest is kept;
 2. few records: the sorted times are folded inside one row;
@@ -18,11 +19,15 @@ pass without any shuffle. For the rest the kept times come in three tiers:
    back down. No task ever holds more than a few windows of one hash.
 
 The kept pairs are then semi-joined to the records on (hash, time), which spreads even a
-hash that owns a third of all rows.
+hash that owns a third of all rows. Of records equal in both, the one whose columns hash
+lowest stays. A time that moves from job to job (``current_timestamp()``) is written down
+first, since several jobs read it.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -52,24 +57,28 @@ def dedup_window(
     """
     if not enabled:
         return df
+    if _moves(df):
+        df = cut_lineage(df)
     window = int(seconds * 1_000_000)
     keyed = df.withColumns({
         _KEY: F.unhex(F.col("raw_sha256") if "raw_sha256" in df.columns else F.sha2("raw", 256)),
         _TIME: F.unix_micros("ingest_ts"),
     })
-    spans = _spans(keyed.select(_KEY, _TIME))
-    repeated = cut_lineage(spans.filter("n > 1"))
+    timed = keyed.select(_KEY, _TIME).where(F.col(_KEY).isNotNull() & F.col(_TIME).isNotNull())
+    repeated = cut_lineage(_spans(timed).filter("n > 1"))
     found = repeated.agg(F.count("*").alias("hashes")).first()["hashes"]
     if not found:
         return df
-    if found <= BROADCAST_ROWS:
-        few = F.broadcast(repeated.select(_KEY))
-        single, rest = keyed.join(few, _KEY, "left_anti"), keyed.join(few, _KEY, "left_semi")
-        kept = kept_times(rest.select(_KEY, _TIME), window, hot_rows, task_times, repeated)
-        return single.unionByName(_accepted(rest, kept)).drop(_KEY, _TIME)
-    once = spans.filter("n = 1").select(_KEY, F.col("lo").alias(_TIME))
-    kept = kept_times(keyed.select(_KEY, _TIME), window, hot_rows, task_times, repeated)
-    return _accepted(keyed, once.unionByName(kept)).drop(_KEY, _TIME)
+    marked = keyed.join(_small(repeated.select(_KEY, F.lit(True).alias("_again")), found), _KEY, "left").select(*keyed.columns, "_again")
+    pass_on = F.col("_again").isNull() | F.col(_TIME).isNull()
+    single, rest = marked.where(pass_on).select(df.columns), marked.where(~pass_on).drop("_again")
+    kept = kept_times(timed, window, hot_rows, task_times, repeated)
+    return single.unionByName(_accepted(rest, kept).select(df.columns))
+
+
+def _moves(df: DataFrame) -> bool:
+    """Whether a second job could see other values: the plan holds a clock or a random function."""
+    return re.search(r"\b(current_timestamp|localtimestamp|now|rand|randn|uuid)\(", df._jdf.queryExecution().analyzed().toString()) is not None
 
 
 def _spans(times: DataFrame) -> DataFrame:
@@ -77,8 +86,11 @@ def _spans(times: DataFrame) -> DataFrame:
 
 
 def _accepted(keyed: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows equal in hash and time collapse map-side before they are shuffled."""
-    return keyed.dropDuplicates([_KEY, _TIME]).join(kept, [_KEY, _TIME], "left_semi").select(keyed.columns)
+    """One record for each kept (hash, time); equal ones collapse map-side before they are shuffled."""
+    columns = [c for c in keyed.columns if c not in (_KEY, _TIME)]
+    row = F.struct(*columns)
+    met = keyed.join(kept, [_KEY, _TIME], "left_semi")
+    return met.groupBy(_KEY, _TIME).agg(F.min_by(row, F.xxhash64(*columns)).alias("_row")).select("_row.*")
 
 
 def kept_times(
@@ -211,12 +223,13 @@ def skipped_count(df: DataFrame, kept: DataFrame) -> DataFrame:
     return counts.agg(F.sum("n").alias("skipped"))
 
 
-def dedup_composite(df: DataFrame, time: str, id: str, message: str, n: int = 50) -> DataFrame:
-    """First record per (time, id, first ``n`` characters of message).
+def dedup_composite(df: DataFrame, time: str, id: str, message: str, n: int | None = None) -> DataFrame:
+    """First record per (time, id, message), or of the first ``n`` characters of the message.
 
-    The key is compared through its hash, so long messages are not shuffled twice.
+    The parts are compared each on its own, nulls equal to nulls; a long message counts through
+    its SHA-256. First is the record whose columns hash lowest.
     """
-    key = F.sha2(F.concat_ws("-", F.coalesce(F.col(time).cast("string"), F.lit("")),
-                             F.coalesce(F.col(id).cast("string"), F.lit("")),
-                             F.left(F.coalesce(F.col(message), F.lit("")), F.lit(n))), 256)
-    return df.withColumn("_composite", key).dropDuplicates(["_composite"]).drop("_composite")
+    text = F.col(message).cast("string")
+    keys = [F.col(time).alias("_t"), F.col(id).alias("_i"), F.sha2(text if n is None else F.left(text, F.lit(n)), 256).alias("_m")]
+    row = F.struct(*df.columns)
+    return df.groupBy(*keys).agg(F.min_by(row, F.xxhash64(*df.columns)).alias("_row")).select("_row.*")

@@ -11,9 +11,10 @@ MAX_BYTES = 65_536
 
 
 def size_guard(df: DataFrame, max_bytes: int = MAX_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped); a record of exactly ``max_bytes`` is kept."""
-    size = F.octet_length("raw")
-    return df.filter(size <= max_bytes), df.filter(size > max_bytes)
+    """(kept, dropped): disjoint and together all records. A record of exactly ``max_bytes`` is kept,
+    one without payload is dropped."""
+    kept = F.coalesce(F.octet_length("raw") <= max_bytes, F.lit(False))
+    return df.filter(kept), df.filter(~kept)
 
 
 def with_payload(df: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lognorm.operators.validate import INVALID, SUCCESS, UNMATCHED, error_text
+from lognorm.operators.validate import INVALID, NO_PAYLOAD, OVERSIZE, SUCCESS, UNMATCHED, error_text
 from lognorm.schema import CLASS_FIELDS, UNKNOWN_CLASS, UNMATCHED_PARSER, UNMATCHED_TEXT, VALIDATION_PREFIX
 from lognorm.sources.parsers import ParserDef
 
-REASONS = {UNMATCHED: "unmatched", INVALID: "ocsf_validation_failed"}
+REASONS = {UNMATCHED: "unmatched", INVALID: "ocsf_validation_failed", OVERSIZE: "oversize", NO_PAYLOAD: "null_payload"}
+_TEXTS = {UNMATCHED: UNMATCHED_TEXT, OVERSIZE: "The payload is longer than allowed.", NO_PAYLOAD: "There is no payload."}
 SINK_MODES = ("stdout", "jsonl", "parquet")
 
 
@@ -55,25 +56,29 @@ def utc_text(ts: Column, pattern: str) -> Column:
 def dlq_records(df: DataFrame) -> DataFrame:
     """Dead letters of a validated frame: the four stored fields, reason, parser and UTC day."""
     dead = df.filter(F.col("status") != SUCCESS)
-    invalid = F.col("status") == INVALID
+    invalid, status = F.col("status") == INVALID, F.col("status")
+    of = lambda texts: F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])[status]
     return dead.select(
         utc_text(F.col("ingest_ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
         "raw_sha256",
-        F.when(invalid, error_text(F.col("errors"))).otherwise(UNMATCHED_TEXT).alias("error"),
+        F.when(invalid, error_text(F.col("errors"))).otherwise(of(_TEXTS)).alias("error"),
         F.col("payload").alias("raw_payload"),
-        F.when(invalid, REASONS[INVALID]).otherwise(REASONS[UNMATCHED]).alias("reason"),
+        of(REASONS).alias("reason"),
         "parser",
         utc_text(F.col("ingest_ts"), "yyyy-MM-dd").alias("dlq_date"),
     )
 
 
-def history(df: DataFrame, defs: list[ParserDef]) -> DataFrame:
-    """One record per processed line, whatever became of it."""
+def history(
+    df: DataFrame, defs: list[ParserDef], message_chars: int | None = None, payload_chars: int | None = None
+) -> DataFrame:
+    """One record per processed line, whatever became of it; texts are whole unless a length is given."""
+    cut = lambda text, n: text if n is None else F.left(text, F.lit(n))
     ok = F.col("status") == SUCCESS
     classes = F.lit(UNKNOWN_CLASS)
     for parser_id, d in reversed(list(enumerate(defs))):
         classes = F.when(F.col("parser_id") == parser_id, d.ocsf_class).otherwise(classes)
-    reason = F.substring(error_text(F.col("errors")), len(VALIDATION_PREFIX) + 1, 200)
+    reason = cut(F.substr(error_text(F.col("errors")), F.lit(len(VALIDATION_PREFIX) + 1)), message_chars)
     return df.select(
         "ingest_ts",
         "status",
@@ -84,7 +89,7 @@ def history(df: DataFrame, defs: list[ParserDef]) -> DataFrame:
         F.when(ok, F.coalesce("event.message", F.lit("")))
         .when(F.col("status") == INVALID, reason).otherwise("").alias("message"),
         "raw_sha256",
-        F.left("payload", F.lit(1500)).alias("raw_payload"),
+        cut(F.col("payload"), payload_chars).alias("raw_payload"),
     )
 
 
@@ -113,7 +118,7 @@ def write_dlq_daily(dlq: DataFrame, path: str) -> None:
 
     Rebalancing by day keeps the file count low and still splits a day that holds most rows.
     """
-    fields = ["timestamp", "raw_sha256", "error", "raw_payload", "dlq_date"]
+    fields = ["timestamp", "raw_sha256", "error", "raw_payload", "reason", "parser", "dlq_date"]
     dlq.select(*fields).hint("rebalance", "dlq_date").write.partitionBy("dlq_date").mode("append").json(path)
 
 

@@ -11,6 +11,8 @@ from lognorm.schema import ALL_FIELDS, CLASS_FIELDS, ENGINE_FIELDS, ENUMS, OBJEC
 from lognorm.sources.parsers import ParserDef
 
 SUCCESS, INVALID, UNMATCHED = "success", "validation_error", "dlq"
+# What the size guard turned away; such records are dead letters too.
+OVERSIZE, NO_PAYLOAD = "oversize", "null_payload"
 
 
 def validate(df: DataFrame, defs: list[ParserDef], enum_mode: str = "code") -> DataFrame:

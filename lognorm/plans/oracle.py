@@ -146,7 +146,7 @@ _FULL_MESSAGE = _MESSAGE.replace(
 _HISTORY = f"""SELECT ingest_us, {_STATUS} AS status, coalesce(parser, 'None (Unmatched)') AS parser,
   ({_TYPE_UID})::BIGINT AS type_uid, coalesce(ocsf_class, 'unknown') AS ocsf_class,
   (CASE WHEN parser IS NULL THEN 0 ELSE 1 END)::BIGINT AS severity, coalesce({_FULL_MESSAGE}, '') AS message,
-  sha256(payload) AS raw_sha256, left(payload, 1500) AS raw_payload FROM routed"""
+  sha256(payload) AS raw_sha256, payload AS raw_payload FROM routed"""
 _LAST = f"{_HISTORY} ORDER BY ingest_us DESC, raw_sha256 LIMIT 200"
 
 # ------------------------------------------------------------------ strict validation
@@ -279,7 +279,21 @@ SQL: dict[str, str] = {
         CASE WHEN event_id % 3 = 0 THEN '-- MARK --' ELSE payload END AS payload FROM raw_logs)"""
         + _KEPT.format(source="marked") + " SELECT h AS raw_sha256, ingest_us FROM kept",
     "dedup_total": DEDUPED + """ SELECT ((SELECT count(*) FROM raw_logs) - (SELECT count(*) FROM records))::BIGINT AS skipped""",
-    "dedup_first_of_key": "SELECT DISTINCT source, lang, left(text, 50) AS head FROM documents",
+    "dedup_nulls": RAW + """, given AS (SELECT CASE WHEN event_id % 13 <> 0 THEN payload END AS payload,
+        CASE WHEN event_id % 17 <> 0 THEN ingest_us END AS ingest_us FROM raw_logs)""" + _KEPT.format(
+            source="(SELECT * FROM given WHERE payload IS NOT NULL AND ingest_us IS NOT NULL)") + """
+      SELECT h AS raw_sha256, ingest_us FROM kept UNION ALL
+      SELECT sha256(payload), ingest_us FROM given WHERE payload IS NULL OR ingest_us IS NULL""",
+    "dedup_many_repeats": RAW + ", given AS (SELECT 'p' || (event_id % 3000) AS payload, ingest_us FROM raw_logs)" + _KEPT.format(
+        source="given") + " SELECT h AS raw_sha256, ingest_us FROM kept",
+    "dedup_text_files": RAW + " SELECT DISTINCT sha256(payload) AS raw_sha256 FROM raw_logs",
+    "dlq_oversize": """SELECT CASE WHEN strlen(text) > 4096 THEN 'oversize' ELSE 'unmatched' END AS reason,
+        CASE WHEN strlen(text) > 4096 THEN 'The payload is longer than allowed.' ELSE 'No matching active parsers found.' END AS error,
+        count(*) AS records, count(DISTINCT sha256(text)) AS payloads FROM documents GROUP BY ALL""",
+    "metrics_with_drops": RAW + """ SELECT count(*) AS ingested, 
+        count(*) FILTER (event_id % 29 = 0 AND event_id % 13 <> 0) AS oversize,
+        count(*) FILTER (event_id % 13 = 0) AS null_payload, 0 AS lost FROM raw_logs""",
+    "dedup_first_of_key": "SELECT DISTINCT source, lang, text FROM documents",
     "metrics_table": DEDUPED + f""", m AS (
         SELECT 'ingest_total' AS metric, '' AS label, (SELECT count(*) FROM raw_logs) AS value
         UNION ALL SELECT 'dedup_total', '', (SELECT count(*) FROM raw_logs) - (SELECT count(*) FROM records)

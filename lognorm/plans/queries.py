@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -25,6 +26,7 @@ from lognorm.plans.batch import normalize_records, process
 from lognorm.session import scratch_folder
 from lognorm.sources.dlq import read_dlq
 from lognorm.sources.parsers import parse_definition
+from lognorm.sources.raw import read_log_lines
 from lognorm.sources.raw import replicate as copies
 from lognorm.sources.raw import to_payload as as_payload
 from lognorm.sources.synth import raw_logs, read_table
@@ -319,8 +321,60 @@ def dedup_total(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dedup_first_of_key(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents")
-    return dedup_composite(docs, "source", "lang", "text").select(
-        "source", "lang", F.left("text", F.lit(50)).alias("head"))
+    return dedup_composite(docs, "source", "lang", "text").select("source", "lang", "text")
+
+
+def pairs(df: DataFrame) -> DataFrame:
+    return df.select(F.sha2("raw", 256).alias("raw_sha256"), micros())
+
+
+@query
+def dedup_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Records without payload or time have no duplicates and all stay."""
+    logs = raw_logs(spark, sf).withColumns({
+        "raw": F.when(F.col("event_id") % 13 != 0, F.col("raw")),
+        "ingest_ts": F.when(F.col("event_id") % 17 != 0, F.col("ingest_ts"))})
+    return pairs(dedup_window(logs))
+
+
+@query
+def dedup_many_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearly every payload comes again."""
+    logs = raw_logs(spark, sf).withColumn("raw", F.encode(F.concat(F.lit("p"), F.col("event_id") % 3000), "UTF-8"))
+    return pairs(dedup_window(logs))
+
+
+@query
+def dedup_text_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines written out and read with the default stamp: each text once."""
+    path = scratch_folder(spark, "lines")
+    raw_logs(spark, sf).select(F.decode("raw", "UTF-8")).write.text(path)
+    return dedup_window(read_log_lines(spark, path)).select(F.sha2("raw", 256).alias("raw_sha256"))
+
+
+@query
+def dlq_oversize(spark: SparkSession, sf: str) -> DataFrame:
+    """Long documents are dead letters, not lost."""
+    raw = as_payload(read_table(spark, sf, "documents"), ["doc_id", "text"]).select(
+        F.encode("text", "UTF-8").alias("raw"), F.lit(datetime(2026, 9, 6)).alias("ingest_ts"), "source")
+    return outputs.dlq_records(process(raw, DEFS, dedup_seconds=None, max_bytes=4096)).groupBy("reason", "error").agg(
+        F.count("*").alias("records"), F.count_distinct("raw_sha256").alias("payloads"))
+
+
+@query
+def metrics_with_drops(spark: SparkSession, sf: str) -> DataFrame:
+    """Taken in = processed + duplicates, with long and missing payloads counted on their own."""
+    e = F.col("event_id")
+    logs = raw_logs(spark, sf).withColumn("raw", F.when(e % 13 != 0, F.when(
+        e % 29 == 0, F.encode(F.repeat(F.lit("x"), F.lit(70_000)), "UTF-8")).otherwise(F.col("raw"))))
+    m = metrics.metrics_table(process(logs, DEFS), logs)
+    total = lambda name, label=None: F.coalesce(F.sum(F.when(
+        (F.col("metric") == name) & (F.lit(True) if label is None else F.col("label").startswith(label)), F.col("value"))), F.lit(0))
+    return m.agg(
+        total("ingest_total").alias("ingested"), total("dlq_total", "oversize,").alias("oversize"),
+        total("dlq_total", "null_payload,").alias("null_payload"),
+        (total("ingest_total") - total("dedup_total") - total("matched_total") - total("dlq_total", "unmatched,")
+         - total("dlq_total", "oversize,") - total("dlq_total", "null_payload,")).alias("lost"))
 
 
 # ------------------------------------------------------------------ metrics and recent

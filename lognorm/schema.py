@@ -188,6 +188,8 @@ DLQ = T.StructType([
     T.StructField("raw_sha256", T.StringType()),
     T.StructField("error", T.StringType()),
     T.StructField("raw_payload", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("parser", T.StringType()),
 ])
 
 # Reasons and texts written to the dead-letter queue and history (fixed values).

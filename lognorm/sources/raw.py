@@ -5,14 +5,15 @@ Bytes are never decoded on the way in, so the hash is that of the original input
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def _stamp(ingest_ts: datetime | None) -> Column:
-    return F.current_timestamp() if ingest_ts is None else F.lit(ingest_ts).cast("timestamp")
+    """One fixed time for all records and all jobs that read them; the present, if none is given."""
+    return F.lit(ingest_ts or datetime.now(timezone.utc)).cast("timestamp")
 
 
 def read_log_lines(spark: SparkSession, path: str, ingest_ts: datetime | None = None) -> DataFrame:

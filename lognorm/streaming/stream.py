@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lognorm.operators.outputs import choose_sink, dlq_records, event_json, split_outputs
-from lognorm.plans.batch import normalize_records
+from lognorm.operators.guard import MAX_BYTES
+from lognorm.plans.batch import guarded_records
 from lognorm.schema import RAW_LOGS
 from lognorm.sources.parsers import ParserDef
 
@@ -105,6 +106,7 @@ def run_stream(
     trigger: dict | None = None,
     dedup_seconds: int | None = 300,
     enum_mode: str = "code",
+    max_bytes: int = MAX_BYTES,
 ) -> StreamingQuery:
     """Start normalising a stream into two sinks. Stop it with ``query.stop()``.
 
@@ -114,7 +116,7 @@ def run_stream(
     records = source if dedup_seconds is None else dedup_stream(source, dedup_seconds)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = normalize_records(batch, defs, enum_mode).persist()
+        done = guarded_records(batch, defs, enum_mode, max_bytes=max_bytes).persist()
         try:
             events, _ = split_outputs(done)
             events_sink(events, batch_id)

@@ -4,6 +4,7 @@ import pandas as pd
 import pytest
 
 from lognorm.operators import dedup as D
+from lognorm.sources.raw import read_log_lines
 
 
 def chain(times, window):
@@ -63,4 +64,31 @@ def test_composite_key(spark):
     df = spark.createDataFrame(
         [("t", 1, long), ("t", 1, long[:50] + "other"), ("t", 2, long), ("u", 1, None), ("u", 1, None)],
         "time string, id int, message string")
-    assert D.dedup_composite(df, "time", "id", "message").count() == 3
+    assert D.dedup_composite(df, "time", "id", "message", n=50).count() == 3
+    assert D.dedup_composite(df, "time", "id", "message").count() == 4
+
+
+def test_composite_key_keeps_parts_apart_and_picks_one_row(spark):
+    rows = [("a-b", "c", "m", 1), ("a", "b-c", "m", 2), ("", None, "m", 3), (None, "", "m", 4), ("a", "b-c", "m", 5), ("a", "b-c", None, 6), ("a", "b-c", "", 7)]
+    df = spark.createDataFrame(rows, "time string, id string, message string, n int")
+    got = D.dedup_composite(df, "time", "id", "message").collect()
+    assert len(got) == 6
+    assert got.sort() == D.dedup_composite(df.repartition(5), "time", "id", "message").collect().sort()
+
+
+@pytest.mark.parametrize("limit", [0, D.BROADCAST_ROWS])
+def test_missing_payloads_and_times_stay(spark, monkeypatch, limit):
+    """Without broadcast too."""
+    monkeypatch.setattr(D, "BROADCAST_ROWS", limit)
+    df = spark.createDataFrame(
+        [(b"a", 0, 1), (b"a", 0, 2), (b"a", None, 3), (b"a", None, 4), (None, 0, 5), (None, 0, 6), (b"b", 0, 7), (b"a", 400, 8)],
+        "raw binary, at long, n int").selectExpr("raw", "timestamp_seconds(at) AS ingest_ts", "n")
+    assert sorted(r["n"] for r in D.dedup_window(df).collect())[-6:] == [3, 4, 5, 6, 7, 8]
+    assert D.dedup_window(df).count() == 7
+
+
+def test_a_moving_clock_loses_no_record(spark, tmp_path):
+    (tmp_path / "x.log").write_text("a\nb\na\nc\nb\na\n")
+    assert sorted(bytes(r["raw"]) for r in D.dedup_window(read_log_lines(spark, str(tmp_path))).collect()) == [b"a", b"b", b"c"]
+    moving = spark.read.text(str(tmp_path)).selectExpr("CAST(value AS BINARY) AS raw", "current_timestamp() AS ingest_ts")
+    assert D.dedup_window(moving).count() == 3

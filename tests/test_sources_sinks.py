@@ -90,3 +90,17 @@ def test_single_scan_without_shuffle(spark, tmp_path, capsys):
     assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Python" not in plan
     assert plan.count("RLIKE") == sum(len(d.match_patterns) for d in DEFS)
     assert "other" not in plan.split("ReadSchema")[1]
+
+
+def test_nothing_is_lost_on_the_way(spark):
+    from lognorm.builtin_rules import builtin_parsers
+    from lognorm.operators.metrics import metrics_table
+    from lognorm.operators.outputs import dlq_records
+    from lognorm.plans.batch import process
+
+    rows = [(b"x" * 70_000, 1), (None, 2), (b"normal", 3), (b"normal", 4), (b"y" * 65_536, 5)]
+    raw = spark.createDataFrame(rows, "raw binary, at long").selectExpr("raw", "timestamp_seconds(at) AS ingest_ts", "'t' AS source")
+    done = process(raw, builtin_parsers())
+    assert sorted(r["reason"] for r in dlq_records(done).collect()) == ["null_payload", "oversize", "unmatched", "unmatched"]
+    m = {(r["metric"], r["label"]): r["value"] for r in metrics_table(done, raw).collect()}
+    assert m["ingest_total", ""] == 5 and m["dedup_total", ""] == 1
