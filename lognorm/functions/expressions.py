@@ -3,12 +3,17 @@
 Definitions may be drafted by machines and come from files, so their expressions are
 checked before Spark sees them: only listed functions, no subqueries, no back-ticks, no
 reflection, and nothing that could raise on a hostile log line (casts are ``try_cast``,
-divisors are non-zero literals, strings are never compared with numbers).
+divisors are non-zero literals, strings are never compared with numbers; ``expression_error``
+tries each expression once, when a definition is read or compiled under a Spark session).
+
+The names of the template functions that definition authors know (``title``, ``truncate``,
+``unique`` ...) expand to the SQL in ``MACROS``; ``split`` takes its separator literally.
 """
 
 from __future__ import annotations
 
 import contextlib
+import functools
 import io
 import re
 from collections.abc import Callable, Iterable
@@ -43,6 +48,69 @@ class UnsafeExpression(ValueError):
     pass
 
 
+_WORD = r"(?U)\w+"
+_LAST_WORD = r"(?s) [^ ]*\z"
+# Runs of what a capital follows, and runs of the rest.
+_TITLE_PIECES = r"((?U)[-\s({\[<]+|[^-\s({\[<]+)"
+
+
+def _count(sql: str) -> str:
+    if not re.fullmatch(r"[1-9][0-9]{0,4}", sql):
+        raise UnsafeExpression(f"{sql!r} is no positive count")
+    return sql
+
+
+def _words(x: str) -> str:
+    return f"concat(upper(left({x}, 1)), lower(substring({x}, 2)))"
+
+
+def _center(x: str, width: str = "80") -> str:
+    gap = f"greatest({_count(width)} - length({x}), 0)"
+    # An odd gap puts the extra space left in an odd width, right in an even one.
+    left = f"shiftright({gap} + {int(width) % 2}, 1)"
+    return f"concat(repeat(' ', {left}), {x}, repeat(' ', {gap} - {left}))"
+
+
+def _truncate(x: str, length: str = "255", end: str = "'...'", leeway: str = "5") -> str:
+    head = f"left({x}, greatest({_count(length)} - length({end}), 0))"
+    cut = f"regexp_replace({head}, {literal(_LAST_WORD)}, '')"
+    return f"CASE WHEN length({x}) <= {length} + {_count(leeway) if leeway != '0' else 0} THEN {x} ELSE concat({cut}, {end}) END"
+
+
+def _sorted(items: str) -> str:
+    keyed = f"transform({items}, (x_, i_) -> named_struct('k', lower(x_), 'i', i_, 'x', x_))"
+    return f"transform(array_sort({keyed}), s_ -> s_.x)"
+
+
+def _unique(items: str) -> str:
+    seen = "exists(acc_, y_ -> lower(y_) = lower(x_))"
+    return f"aggregate({items}, slice({items}, 1, 0), (acc_, x_) -> if({seen}, acc_, concat(acc_, array(x_))))"
+
+
+def _batch(items: str, n: str) -> str:
+    starts = f"sequence(1, greatest(size({items}), 1), {_count(n)})"
+    return f"filter(transform({starts}, s_ -> slice({items}, s_, {n})), b_ -> size(b_) > 0)"
+
+
+#: Template functions by name: SQL of the arguments to SQL.
+MACROS: dict[str, Callable[..., str]] = {
+    "capitalize": _words,
+    "title": lambda x: f"array_join(transform(regexp_extract_all({x}, {literal(_TITLE_PIECES)}, 1), w_ -> {_words('w_')}), '')",
+    "truncate": _truncate,
+    "wordcount": lambda x: f"regexp_count({x}, {literal(_WORD)})",
+    "center": _center,
+    "indent": lambda x, width="4": f"regexp_replace({x}, '\\n(?=[^\\n])', '\\n{' ' * int(_count(width))}')",
+    "first": lambda items: f"try_element_at({items}, 1)",
+    "last": lambda items: f"try_element_at({items}, -1)",
+    "join": lambda items, separator="''": f"array_join({items}, {separator})",
+    "default": lambda x, fallback="''": f"coalesce({x}, {fallback})",
+    "unique": _unique,
+    "sort": _sorted,
+    "batch": _batch,
+}
+_DEFAULTS = ("coalesce", "nvl", "default")
+
+
 def safe_expr(text: str, names: Iterable[str]) -> Column:
     """Column for an expression over group names held in the map column ``groups``.
 
@@ -56,6 +124,7 @@ def rewrite(text: str, names: frozenset[str], column_sql: Callable[[str], str])
     tokens = [(m.lastgroup, m.group()) for m in _TOKEN.finditer(text) if m.lastgroup != "space"]
     lambdas = {tokens[i][1] for i in range(len(tokens) - 1) if tokens[i + 1][1] == "->"}
     out: list[str] = []
+    calls: list[tuple[str, list[int]]] = []  # open brackets: function before it, where its arguments start in ``out``
     for i, (kind, token) in enumerate(tokens):
         before = tokens[i - 1][1] if i else ""
         after = tokens[i + 1] if i + 1 < len(tokens) else ("", "")
@@ -64,10 +133,22 @@ def rewrite(text: str, names: frozenset[str], column_sql: Callable[[str], str])
                 raise UnsafeExpression(f"{token!r} is not allowed")
             if token == "%":
                 _check_divisor(after)
+            if token == "(":
+                called = before.lower() if i and tokens[i - 1][0] == "name" else ""
+                calls.append((called, [len(out) + 1]))
+            elif token == "," and calls:
+                calls[-1][1].append(len(out) + 1)
+            elif token == ")":
+                if not calls:
+                    raise UnsafeExpression("a bracket too many")
+                called, starts = calls.pop()
+                if called in MACROS or called == "split":
+                    _close(called, starts, out)
+                    continue
         elif kind == "name":
             word = token.lower()
             if after[1] == "(" and word not in _CONSTRUCTS:
-                if word not in ALLOWED_FUNCTIONS:
+                if word not in ALLOWED_FUNCTIONS and word not in MACROS:
                     raise UnsafeExpression(f"function {token!r} is not allowed")
                 if word == "sequence" and any(t[0] == "name" for t in _arguments(tokens, i + 1)):
                     raise UnsafeExpression("sequence takes literals only")
@@ -75,7 +156,7 @@ def rewrite(text: str, names: frozenset[str], column_sql: Callable[[str], str])
                 if word == "div":
                     _check_divisor(after)
             elif token in names:
-                inside_default = before == "(" and tokens[i - 2][1].lower() in ("coalesce", "nvl")
+                inside_default = before == "(" and tokens[i - 2][1].lower() in _DEFAULTS
                 ref = column_sql(token)
                 token = ref if inside_default else f"coalesce({ref}, '')"
             else:
@@ -84,6 +165,27 @@ def rewrite(text: str, names: frozenset[str], column_sql: Callable[[str], str])
     return " ".join(out)
 
 
+def _close(called: str, starts: list[int], out: list[str]) -> None:
+    """Replaces the call at the end of ``out`` (name, bracket, arguments) by its SQL."""
+    ends = [s - 1 for s in starts[1:]] + [len(out)]
+    args = [" ".join(out[a:b]) for a, b in zip(starts, ends, strict=True) if b > a]
+    del out[starts[0] - 2:]
+    if called == "split":
+        out.append(f"split({', '.join([args[0], _literal_pattern(args[1]), *args[2:]])})" if len(args) > 1 else f"split({', '.join(args)}, ' ')")
+        return
+    try:
+        out.append(MACROS[called](*args))
+    except TypeError as exc:
+        raise UnsafeExpression(f"{called} takes other arguments") from exc
+
+
+def _literal_pattern(sql: str) -> str:
+    """A text literal as a regular expression that matches just that text."""
+    if not re.fullmatch(r"'(?:[^'\\]|\\[^E])*'", sql) or sql == "''":
+        raise UnsafeExpression("split takes a literal separator")
+    return f"'\\\\Q{sql[1:-1]}\\\\E'"
+
+
 def _check_divisor(token: tuple[str, str]) -> None:
     if token[0] != "number" or float(token[1]) == 0:
         raise UnsafeExpression("a divisor must be a non-zero literal")
@@ -103,6 +205,16 @@ _LITERAL_CAST = re.compile(r"\bcast\(-?[\d.]+ as \w+\)")
 _RAISING_CAST = re.compile(r"(?<!try_)\bcast\(")
 
 
+@functools.lru_cache(maxsize=4096)
+def _tried(text: str, names: frozenset[str]) -> str | None:
+    return expression_error(SparkSession.getActiveSession(), text, sorted(names))
+
+
+def tried_error(text: str, names: frozenset[str]) -> str | None:
+    """``expression_error`` under the active session, once per expression; None where there is no session."""
+    return None if SparkSession.getActiveSession() is None else _tried(text, names)
+
+
 def expression_error(spark: SparkSession, text: str, names: Iterable[str]) -> str | None:
     """Why an expression cannot be used, or None.
 

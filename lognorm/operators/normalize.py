@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lognorm.functions.coerce import coerce_sql
-from lognorm.functions.expressions import rewrite
+from lognorm.functions.expressions import UnsafeExpression, rewrite, tried_error
 from lognorm.functions.sql import array, case, literal, named_struct, null
 from lognorm.operators.route import capture, extract_captures
 from lognorm.schema import (
@@ -113,6 +113,9 @@ def _compile(d: ParserDef, enum_mode: str) -> _Compiled:
 def _source_text(d: ParserDef, m: FieldMapping) -> str:
     if not m.expr:
         return capture(d, m.leaf)
+    error = tried_error(m.expr, frozenset(d.group_names))
+    if error:
+        raise UnsafeExpression(f"{d.name}, {m.ocsf_field}: {error}")
     text = rewrite(m.expr, frozenset(d.group_names), lambda name: capture(d, name))
     return f"CAST({text} AS STRING)"
 

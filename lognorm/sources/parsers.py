@@ -15,7 +15,7 @@ from pathlib import Path
 from typing import Any
 
 from lognorm.functions.coerce import FIELD_TYPES
-from lognorm.functions.expressions import UnsafeExpression, rewrite
+from lognorm.functions.expressions import UnsafeExpression, rewrite, tried_error
 from lognorm.functions.patterns import regex_error, to_spark
 from lognorm.schema import KNOWN_CLASS_UIDS, OCSF_CLASSES
 
@@ -123,6 +123,9 @@ def _mapping_violations(doc: dict, patterns: list[str]) -> list[tuple[str, str]]
         try:
             if m.get("expr"):
                 rewrite(m["expr"], names, str)
+                error = tried_error(m["expr"], names)
+                if error:
+                    raise UnsafeExpression(error)
         except UnsafeExpression as exc:
             found.append(("expression", f"field_mappings[{i}]: {exc}"))
     return found

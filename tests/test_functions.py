@@ -11,6 +11,7 @@ from lognorm.functions.patterns import regex_error, to_spark
 from lognorm.functions.payload import decode_utf8, fingerprint
 from lognorm.functions.triage import detail_label, harm_tag, preview
 from lognorm.operators.guard import size_guard, verify_envelope, with_envelope
+from lognorm.sources.parsers import InvalidDefinition, parse_definition
 
 
 def value(spark, column, **cols):
@@ -177,3 +178,42 @@ def test_labels(spark):
     assert value(spark, detail_label(F.col("p"), F.lit(300200)), p="x") == "UID: 300200"
     assert value(spark, detail_label(F.col("p"), F.lit(None)), p="x") == "N/A"
     assert value(spark, preview(F.col("p")), p="x" * 60) == "x" * 50 + "..."
+
+
+TEXTS = ["hello wOrld-foo (bar) [x] {y} <z", "a.b..c", "", "The quick  brown fox jumps over the lazy dog " * 8, "one\ntwo\n\nthree", "b,A,a,B,c", "9"]
+
+
+@pytest.mark.parametrize("expr,column", [
+    ("title(v)", lambda v: fx.title(v)), ("capitalize(v)", lambda v: fx.capitalize(v)),
+    ("truncate(v, 30)", lambda v: fx.truncate(v, 30)), ("truncate(v)", lambda v: fx.truncate(v)),
+    ("wordcount(v)", lambda v: fx.wordcount(v)), ("center(v, 21)", lambda v: fx.center(v, 21)),
+    ("center(v, 20)", lambda v: fx.center(v, 20)), ("indent(v, 2)", lambda v: fx.indent(v, 2)),
+    ("first(split(v, '.'))", lambda v: fx.first(fx.split(v, "."))), ("last(split(v, ','))", lambda v: fx.last(fx.split(v, ","))),
+    ("join(unique(split(v, ',')), '|')", lambda v: fx.join(fx.unique(fx.split(v, ",")), "|")),
+    ("join(sort(split(v, ',')))", lambda v: fx.join(fx.sort(fx.split(v, ",")))),
+    ("size(batch(split(v, ','), 2))", lambda v: F.size(fx.batch(fx.split(v, ","), 2))),
+    ("default(absent, 'x')", lambda v: F.lit("x")), ("upper(title(v))", lambda v: F.upper(fx.title(v))),
+])
+def test_template_functions_in_definitions(spark, expr, column):
+    """They say what the Column functions say, and none can raise."""
+    df = spark.createDataFrame([(t,) for t in TEXTS], "v string").withColumn("groups", F.create_map(F.lit("v"), F.col("v")))
+    rows = df.select(safe_expr(expr, ["v", "absent"]).cast("string").alias("got"), column(F.col("v")).cast("string").alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert expression_error(spark, expr, ["v", "absent"]) is None
+
+
+@pytest.mark.parametrize("expr", ["center(v, v)", "truncate()", "split(v, v)", "batch(v)", "split(v, '')", "upper(v))", "batch(v, 0)", "split(v, '\\E')"])
+def test_refused_calls(expr):
+    with pytest.raises(UnsafeExpression):
+        rewrite(expr, frozenset(["v"]), str)
+
+
+@pytest.mark.parametrize("expr", ["abs(v)", "case when v > 5 then 'a' end", "regexp_replace(v, '(', '')"])
+def test_definitions_with_raising_expressions_are_refused(spark, expr):
+    doc = {"name": "d", "version": "1.0.0", "author": "human", "created_at": "2026-09-06", "vendor": "x", "log_format": "text",
+           "ocsf_class": "base_event", "ocsf_category_uid": 0, "ocsf_class_uid": 0, "match_patterns": ["(?P<v>.*)"],
+           "field_mappings": [{"ocsf_field": "message", "expr": expr}]}
+    with pytest.raises(InvalidDefinition):
+        parse_definition(doc)
+    doc["field_mappings"][0]["expr"] = "truncate(title(v), 20)"
+    assert parse_definition(doc).name == "d"
