@@ -33,9 +33,11 @@ MIXED = [
     '{"timestamp":"2026-09-10 23:16:00.123","processID":456,"threadID":789,"subsystem":"com.apple.security","category":"auth","message":"User authentication failed for touchID"}',
     '%ASA-4-106023: Deny udp src outside:192.168.2.5/53 dst inside:10.0.0.2/5353 by access-group "outside_in"',
     "%ASA-6-302013: Built inbound TCP connection 123456 for outside:192.168.2.10/443 (192.168.2.10/443) to inside:10.0.0.5/54321 (10.0.0.5/54321)",
+    '{"eventVersion": "1.08", "userIdentity": {"type": "IAMUser", "userName": "alice"}, "eventTime": "2026-09-10T23:18:00Z", "eventSource": "s3.amazonaws.com", "eventName": "DeleteBucket", "sourceIPAddress": "203.0.113.5", "userAgent": "aws-cli/2.0.0", "requestParameters": {"bucketName": "critical-prod-data"}}',
+    '1,2026/09/10 23:20:00,00123456789,THREAT,vulnerability,1,2026/09/10 23:19:59,10.0.0.2,192.168.1.100,0.0.0.0,0.0.0.0,Rule1,admin,web-browsing,vsys1,trust,untrust,ethernet1/1,ethernet1/2,syslog,2026/09/10 23:20:00,12345,1,80,8080,0,0,0x400000,tcp,alert,"",Attempted Admin Privilege Gain(30001),any,informational,client-to-server,0,0x0,192.168.0.0-192.168.255.255,10.0.0.0-10.255.255.255,0,,0,,,0,,,,,,,,0,0,0,0,0',
 ]
-MIXED_HASH_STARTS = ["a07f1ba4b0ae", "924c9e128552", "ac7e144bfe66", "e35c47c491a7", "44c14436bac6", "38421a1bcac1"]
+MIXED_HASH_STARTS = ["a07f1ba4b0ae", "924c9e128552", "ac7e144bfe66", "e35c47c491a7", "44c14436bac6", "38421a1bcac1", "ac4599aea701", "2f49b063ab55"]
 MIXED_STATUS = {
-    "code": ["success", "success", "dlq", "dlq", "success", "success"],
-    "instance": ["validation_error", "validation_error", "dlq", "dlq", "validation_error", "validation_error"],
+    "code": ["success", "success", "dlq", "dlq", "success", "success", "dlq", "dlq"],
+    "instance": ["validation_error", "validation_error", "dlq", "dlq", "validation_error", "validation_error", "dlq", "dlq"],
 }

@@ -103,9 +103,9 @@ def test_mixed_lines(records, mode):
 def test_outputs_are_exhaustive_and_disjoint(records):
     done = process(records(MIXED), DEFS)
     events, dead = split_outputs(done)
-    assert (events.count(), dead.count()) == (4, 2)
+    assert (events.count(), dead.count()) == (4, 4)
     letters = dlq_records(done).orderBy("timestamp").collect()
-    assert [r["error"] for r in letters] == ["No matching active parsers found."] * 2
+    assert [r["error"] for r in letters] == ["No matching active parsers found."] * 4
     assert letters[0]["timestamp"] == "2026-09-10T17:44:23.287394+00:00" and letters[0]["dlq_date"] == "2026-09-10"
     assert letters[0]["raw_payload"] == MIXED[2]
     h = history(done, DEFS).orderBy("ingest_ts").collect()
