@@ -1,14 +1,14 @@
 """Log-bilinear language model, trained with noise-contrastive estimation, and corpus unigram scores.
 
 Tokens are words (A-Z lower-cased, split at ASCII white space) and one end a text. The model
-predicts classes: the ``CLASSES`` commonest words, the end, and "other". The vectors of the two
+predicts classes: the ``CLASSES`` commonest hot words, the end, and "other". The vectors of the two
 classes before, each times its own matrix, add up to a prediction whose product with every
 class's target vector, plus a bias, is the class's score. A word of class "other" shares that
 class's probability in proportion to its count plus one, with one share left for unseen words,
 so log-probabilities are normalised over the whole vocabulary.
 
-Word counts cover all training texts: tasks count, Spark adds up. The ``HOT`` commonest words
-and their counts go to every task (a documented bound, about 5 MB); the words of a text beyond
+Word counts cover all training texts: tasks count, Spark adds up. The commonest words, ``HOT`` at
+most, and their counts go to every task (a documented bound, about 5 MB); the words of a text beyond
 them meet the whole count table in a join, so counts are exact for every word.
 
 Training reads all training texts: every task runs noise-contrastive estimation (numpy,
@@ -218,7 +218,16 @@ def count_words(texts: DataFrame, text: str = "text") -> DataFrame:
 def vocabulary(counts: DataFrame, classes: int = CLASSES, hot: int = HOT) -> Vocabulary:
     """From a saved count table."""
     n = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("c"))), F.lit(0))).head()
-    top = counts.where("word IS NOT NULL").orderBy(F.desc("c"), "word").limit(hot).collect()
+    words = counts.where("word IS NOT NULL").withColumn("step", F.floor(F.log2("c") * 16))
+    # Whole steps of the count's logarithm from the top, as long as they hold ``hot`` words at most: nothing is sorted.
+    least, held = None, 0
+    for r in sorted(words.groupBy("step").count().collect(), reverse=True):
+        held += r["count"]
+        if held > hot:
+            break
+        least = r["step"]
+    found = words.where(F.col("step") >= least).select("word", "c").collect() if least is not None else []
+    top = sorted(found, key=lambda r: (-r["c"], r["word"]))
     return Vocabulary(
         {r["word"].encode(): i for i, r in enumerate(top)}, np.array([r["c"] for r in top], dtype=np.int64),
         min(classes, len(top)), int(n[2]), int(n[0]), int(n[1]))
