@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import html.entities
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -123,7 +122,7 @@ def _sql_id(kind: str, *parts: str) -> str:
 
 
 def _sql_entities(x: str) -> str:
-    names = ", ".join(f"'{k}': chr({v})" for k, v in sorted(html.entities.name2codepoint.items()))
+    names = ", ".join(f"'{k}': chr({ord(v)})" for k, v in warc.ENTITIES.items())
     name = f"regexp_extract(p, '{warc.ENTITY}', 1)"
     number = f"CASE WHEN regexp_matches({name}, '^#[xX]') THEN CAST('0x' || substr({name}, 3) AS BIGINT) WHEN starts_with({name}, '#') THEN CAST(substr({name}, 2) AS BIGINT) END"
     char = f"""CASE WHEN ({number}) BETWEEN 1 AND 55295 OR ({number}) BETWEEN 57344 AND 1114111 THEN chr(CAST({number} AS INT))

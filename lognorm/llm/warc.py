@@ -34,6 +34,8 @@ BREAKS = (r"(?i)</?(?:p|div|br|hr|h[1-6]|li|ul|ol|dl|dt|dd|tr|td|th|table|articl
           r"title|body|html|blockquote|pre|figure|form)\b[^>]*>")
 TAGS = r"</?[A-Za-z!?][^>]*>"
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
+#: The named characters of HTML 4, as HTML 5 reads them, from the standard library.
+ENTITIES = {n: html.entities.html5[n + ";"] for n in sorted(html.entities.name2codepoint)}
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
 LANGUAGE = r"(?is)<html\b[^>]*\slang=[\x22']?([A-Za-z0-9-]+)"
 
@@ -67,7 +69,7 @@ def responses(pages: DataFrame, url: str = "url", payload: str = "html", key: st
 
 def _entities(text: Column) -> Column:
     """Character references decoded once, from left to right; unknown ones stay."""
-    names = F.create_map(*[F.lit(x) for k, v in sorted(html.entities.name2codepoint.items()) for x in (k, chr(v))])
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
 
     def one(piece: Column) -> Column:
         name = F.regexp_extract(piece, ENTITY, 1)
