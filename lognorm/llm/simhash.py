@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lognorm.llm.common import column_of, map_slices, saved, text_or_empty, texts_of
 from lognorm.llm.components import components
@@ -171,7 +172,7 @@ def _keeper_rows(docs: DataFrame, key, text: str, keepers: DataFrame) -> DataFra
 
         return work
 
-    schema = clash.schema.add(fp, "long")
+    schema = T.StructType([*clash.schema.fields, T.StructField(fp, T.LongType())])
     marked = map_slices(clash, make, schema, text).withColumn(h, F.xxhash64(*docs.columns))
     first = marked.groupBy(k, fp).agg(F.min(h).alias(h))
     wanted = keepers.select(F.col("k").alias(k), F.col("fp").alias(fp)).join(
