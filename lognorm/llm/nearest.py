@@ -5,7 +5,7 @@ distance, over the true one, is chi-square with that many degrees of freedom; so
 projected distance r and the k-th true distance found so far d have F(r^2 / d^2) >= CONFIDENCE, a
 nearer vector is still unseen with probability 1 - CONFIDENCE at most, and the search stops.
 
-The kd-tree over the projections is fitted on a bounded sample (``SAMPLE`` rows, first by hash);
+The kd-tree over the projections is fitted on a bounded sample (about ``SAMPLE`` rows, by hash);
 every row is then indexed in one of its cells, whose number follows the rows up to ``CELLS``;
 a cell of more than ``BLOCK`` rows is cut into blocks. A query first meets its own cell, in order
 of projected distance, until the test holds. The bound it found then goes to the cells whose
@@ -201,7 +201,9 @@ def nearest(
     copies = Window.partitionBy("embedding").orderBy("vec_id")
     kept = rows.withColumn("_n", F.row_number().over(copies)).where(F.col("_n") <= k + 1).drop("_n")
     total = rows.count()
-    first = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    # About SAMPLE rows by hash, without a sort.
+    share = min(2**40, math.ceil(2**40 * SAMPLE / max(total, 1)))
+    first = rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(2**40)) < share)
     points = np.array([[r[p] for p in P] for r in _placed(first, None).select(*P).collect()]).reshape(-1, PROJECTED)
     cells = Cells.fit(points, min(CELLS, math.ceil(total / CELL_ROWS)))
     placed = saved(_placed(kept, cells))
