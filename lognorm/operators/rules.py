@@ -1,7 +1,7 @@
 """Checks of parser definitions as a rule table over a DataFrame of definitions.
 
-The same rules guard a single document in ``sources.parsers.violations``; this form checks
-whole registries, such as all drafts pending review.
+The rules are those of a single document in ``sources.parsers.violations`` as far as typed
+columns can break them; this form checks whole registries, such as all drafts pending review.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lognorm.functions.coerce import FIELD_TYPES
-from lognorm.functions.patterns import regex_error
+from lognorm.functions.expressions import UnsafeExpression, rewrite
+from lognorm.functions.patterns import regex_error, to_spark
 from lognorm.schema import CLASS_FIELDS, KNOWN_CLASS_UIDS, OBJECTS, OCSF_CLASSES, members
 from lognorm.sources.parsers import AUTHOR, REQUIRED, SEMVER, ParserDef
 
@@ -56,8 +57,26 @@ def _regex_errors(patterns: pd.Series) -> pd.Series:
     return patterns.map(lambda ps: None if ps is None else [None if p is None else regex_error(p) for p in ps])
 
 
-def rule_violations(parser_df: DataFrame) -> DataFrame:
-    """``file, rule, detail``: one row per broken rule. An empty pattern list breaks none."""
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _expression_errors(patterns: pd.Series, expressions: pd.Series) -> pd.Series:
+    """What the static check of a document says about its mappings' expressions."""
+
+    def errors(ps, es) -> list[str]:
+        names = frozenset(n for p in (ps if ps is not None else []) if p is not None and not regex_error(p) for n in to_spark(p).names if n)
+        out = []
+        for i, e in enumerate(es if es is not None else []):
+            try:
+                if e:
+                    rewrite(e, names, str)
+            except UnsafeExpression as exc:
+                out.append(f"field_mappings[{i}]: {exc}")
+        return out
+
+    return pd.Series([errors(p, e) for p, e in zip(patterns, expressions, strict=True)])
+
+
+def _judged(parser_df: DataFrame) -> DataFrame:
+    """The definitions with ``found``: the rules each breaks."""
     c = F.col
 
     def broken(rule: str, when: Column, detail: Column) -> Column:
@@ -78,16 +97,24 @@ def rule_violations(parser_df: DataFrame) -> DataFrame:
     listed = F.transform(
         c("regex_errors"), lambda e, i: F.when(e.isNotNull(), F.struct(
             F.lit("regex").alias("rule"), F.concat(F.lit("match_patterns["), i, F.lit("]")).alias("detail"))))
-    found = F.array_compact(F.concat(F.array(*checks), F.coalesce(listed, F.array())))
+    unsafe = F.transform(
+        c("expression_errors"), lambda e: F.struct(F.lit("expression").alias("rule"), e.alias("detail")))
+    found = F.array_compact(F.concat(F.array(*checks), F.coalesce(listed, F.array()), F.coalesce(unsafe, F.array())))
     return (
         parser_df.withColumn("regex_errors", _regex_errors("match_patterns"))
-        .select("file", F.inline(found))
+        .withColumn("expression_errors", _expression_errors("match_patterns", "field_mappings.expr"))
+        .withColumn("found", found).drop("regex_errors", "expression_errors")
     )
 
 
+def rule_violations(parser_df: DataFrame) -> DataFrame:
+    """``file, rule, detail``: one row per broken rule. An empty pattern list breaks none."""
+    return _judged(parser_df).select("file", F.inline("found"))
+
+
 def valid_definitions(parser_df: DataFrame) -> DataFrame:
-    """Definitions that break no rule."""
-    return parser_df.join(rule_violations(parser_df), "file", "left_anti")
+    """Definitions that break no rule; each is judged on its own, whatever its namesakes do."""
+    return _judged(parser_df).filter(F.size("found") == 0).drop("found")
 
 
 def lint_paths(parser_df: DataFrame) -> DataFrame:

@@ -175,6 +175,8 @@ broken AS (
   UNION ALL SELECT file, 'class_uid', '9999' FROM d WHERE e % 43 = 0
   UNION ALL SELECT file, 'field_type', 'number,str' FROM d WHERE e % 29 = 0
   UNION ALL SELECT file, 'regex', 'match_patterns[1]' FROM d WHERE e % 23 = 0 AND e % 19 <> 0
+  UNION ALL SELECT file, 'expression', 'field_mappings[' || i || ']: ''text'' is no group of this definition'
+    FROM d, (VALUES (0), (1)) AS m(i) WHERE e % 19 = 0
 )"""
 
 

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lognorm.builtin_rules import builtin_parsers
 from lognorm.operators.normalize import normalize
@@ -199,3 +200,19 @@ def test_many_definitions_stay_one_pass(records):
     rows = run(records, ["line0 a", "line59 b", "other"], *many)
     assert [r["parser"] for r in rows] == ["p0", "p59", None]
     assert rows[1]["event"]["message"] == "b"
+
+
+def test_namesakes_are_judged_one_by_one(spark):
+    good = definition(name="a", file="x.json") if "file" in BASE else definition(name="a")
+    table = parser_table(spark, [good, good])
+    bad = table.limit(1).withColumn("version", F.lit("not a version"))
+    both = table.limit(1).unionByName(bad)
+    assert rule_violations(both).count() == 1 and valid_definitions(both).count() == 1
+
+
+def test_registry_finds_unsafe_expressions(spark):
+    table = parser_table(spark, [definition()])
+    unsafe = F.array(F.struct(F.lit("message").alias("ocsf_field"), F.lit("str").alias("type"), F.lit("reflect('a', 'b')").alias("expr"), F.lit(None).cast("string").alias("default")))
+    bad = table.withColumn("field_mappings", unsafe)
+    assert [r["rule"] for r in rule_violations(bad).collect()] == ["expression"]
+    assert valid_definitions(bad).count() == 0 and valid_definitions(table).count() == 1
