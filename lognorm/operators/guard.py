@@ -33,5 +33,5 @@ def with_envelope(df: DataFrame) -> DataFrame:
 
 
 def verify_envelope(df: DataFrame) -> DataFrame:
-    """Rows whose stored hash is not the hash of their bytes; must be empty."""
-    return df.filter(F.sha2("raw", 256) != F.col("raw_data_hash.value"))
+    """Rows whose stored hash is not the hash of their bytes, or is missing; must be empty."""
+    return df.filter(~F.sha2("raw", 256).eqNullSafe(F.col("raw_data_hash.value")))

@@ -200,8 +200,7 @@ SQL: dict[str, str] = {
     "fingerprint_documents": """SELECT doc_id, 'SHA-256' AS algorithm, 3::BIGINT AS algorithm_id, sha256(text) AS sha256,
         octet_length(encode(text))::BIGINT AS raw_size FROM documents""",
     "size_guard_documents": "SELECT doc_id, octet_length(encode(text)) <= 4096 AS kept FROM documents",
-    "envelope_check": RAW + """ SELECT count(*) AS records, sum(octet_length(encode(payload)))::BIGINT AS bytes FROM raw_logs
-        UNION ALL SELECT 0, 0""",
+    "envelope_check": RAW + " SELECT event_id, ingest_us FROM raw_logs WHERE event_id % 97 = 0",
     "to_payload": """SELECT event_id, '{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' ||
         event_type || '","props":' || to_json(props)::VARCHAR || '}' AS payload FROM events""",
     "replicate": "SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events",
@@ -255,8 +254,11 @@ SQL: dict[str, str] = {
             severity, message_id, protocol, src_ip, src_port, dst_ip, dst_port) END AS unmapped FROM {_groups('cisco_asa')})""",
     "event_aliases": ALL + """ SELECT event_id, ingest_us, CASE WHEN parser IS NOT NULL THEN payload END AS raw_payload,
         CASE WHEN parser IS NOT NULL THEN sha256(payload) END AS raw_sha256 FROM routed""",
-    "class_projection": ALL + """ SELECT 300200::BIGINT AS type_uid, 'sshd' AS service, 'SSH2' AS auth_protocol,
-        count(*) AS events FROM routed WHERE parser = 'linux_sshd' HAVING count(*) > 0""",
+    "class_projection": ALL + """ SELECT ocsf_class, CASE ocsf_class WHEN 'authentication' THEN 300200
+          WHEN 'network_activity' THEN 400100 ELSE 0 END::BIGINT AS type_uid,
+        CASE WHEN ocsf_class = 'authentication' THEN 'sshd' END AS service,
+        CASE WHEN ocsf_class = 'authentication' THEN 'SSH2' END AS auth_protocol,
+        count(*) AS events FROM routed WHERE parser IS NOT NULL GROUP BY ALL""",
     "validate_code": ALL + f""" SELECT event_id, ingest_us, parser, {_STATUS} AS status, 0::BIGINT AS n_errors,
         NULL::VARCHAR AS error FROM routed""",
     "validate_instance": ALL + f""" SELECT event_id, ingest_us, parser,

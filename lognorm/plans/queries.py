@@ -23,6 +23,7 @@ from lognorm.operators.route import dry_run as dry_run_one
 from lognorm.operators.route import extract_groups, route
 from lognorm.operators.validate import error_text
 from lognorm.plans.batch import normalize_records, process
+from lognorm.schema import CLASS_FIELDS
 from lognorm.session import scratch_folder
 from lognorm.sources.dlq import read_dlq
 from lognorm.sources.parsers import parse_definition
@@ -100,9 +101,11 @@ def size_guard_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def envelope_check(spark: SparkSession, sf: str) -> DataFrame:
-    wrapped = with_envelope(raw_logs(spark, sf))
-    return wrapped.agg(F.count("*").alias("records"), F.sum("raw_data_size").alias("bytes")).unionByName(
-        verify_envelope(wrapped).agg(F.count("*").alias("records"), F.lit(0).cast("long").alias("bytes")))
+    """Stored envelopes, some tampered with; the check names exactly those."""
+    path = scratch_folder(spark, "envelopes")
+    with_envelope(raw_logs(spark, sf)).write.parquet(path)
+    changed = F.when(F.col("event_id") % 97 == 0, F.concat("raw", F.lit(b"!"))).otherwise(F.col("raw"))
+    return verify_envelope(spark.read.parquet(path).withColumn("raw", changed)).select("event_id", micros())
 
 
 @query
@@ -236,9 +239,15 @@ def event_aliases(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def class_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """The events of every class through its own columns."""
     events, _ = outputs.split_outputs(normalized(spark, sf))
-    return outputs.class_view(events, "authentication").groupBy("type_uid", "service", "auth_protocol").agg(
-        F.count("*").alias("events"))
+    shown = None
+    for name in CLASS_FIELDS:
+        view = outputs.class_view(events, name)
+        own = [F.col(c) if c in view.columns else F.lit(None).cast("string").alias(c) for c in ("service", "auth_protocol")]
+        part = view.select(F.lit(name).alias("ocsf_class"), "type_uid", *own)
+        shown = part if shown is None else shown.unionByName(part)
+    return shown.groupBy("ocsf_class", "type_uid", "service", "auth_protocol").agg(F.count("*").alias("events"))
 
 
 # ------------------------------------------------------------------ validation and split
