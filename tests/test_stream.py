@@ -49,7 +49,7 @@ def test_run_stream_from_text_files(spark, tmp_path):
         stream.parquet_sink(str(tmp_path / "dlq")), str(tmp_path / "ckpt"), trigger={"availableNow": True})
     q.awaitTermination()
     assert spark.read.json(str(tmp_path / "events")).count() == 4
-    assert spark.read.parquet(str(tmp_path / "dlq")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "dlq")).count() == 4
 
 
 @pytest.mark.parametrize("mode", ["jsonl", "parquet"])
