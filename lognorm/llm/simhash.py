@@ -70,8 +70,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     def make():
         def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-            fps = np.array([fingerprint(shingle_hashes(t)) for t in texts_of(piece)], dtype=np.uint64)
-            return pa.RecordBatch.from_arrays([column_of(piece, "doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            return pa.RecordBatch.from_arrays([column_of(piece, "doc_id"), pa.array(prints_of(texts_of(piece)))], ["doc_id", "fp"])
 
         return work
 
@@ -139,14 +138,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return prints.join(classes(prints), "fp").select("doc_id", "fp", "root", "component_id")
 
 
+def prints_of(texts: list[bytes]) -> np.ndarray:
+    return np.array([fingerprint(shingle_hashes(t)) for t in texts], dtype=np.uint64).view(np.int64)
+
+
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component stays, with all its columns: that of the smallest doc_id.
+    """One row of each component stays, with all its columns: that of the smallest doc_id."""
+    return one_of_each(docs, saved(near_duplicates(docs, doc_id, text)), prints_of, doc_id, text)
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, prints, doc_id: str, text: str) -> DataFrame:
+    """One row of each component stays; ``rows`` are those of ``near_duplicates``, ``prints`` gives fp of texts.
 
     Rows that share a doc_id, or have none, are told apart by fingerprint, then by a hash of all
     columns; of wholly equal rows one stays. Such rows take a path of their own; the others meet
     the decisions by doc_id alone, and only the doc_ids that go are joined.
     """
-    rows = saved(near_duplicates(docs, doc_id, text))
     repeated = saved(rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("_r")))
     gone = rows.where("doc_id <> component_id").select(F.col("doc_id").alias("_r")).unionAll(repeated).distinct()
     key = F.col(doc_id).cast("long")
@@ -155,10 +162,10 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         return kept
     keepers = rows.where("doc_id <=> component_id").groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").alias("k"), "fp")).alias("x")).select("x.k", "x.fp")
-    return kept.unionAll(_keeper_rows(docs, key, text, keepers.join(repeated, F.col("k").eqNullSafe(F.col("_r")), "left_semi")))
+    return kept.unionAll(_keeper_rows(docs, key, text, prints, keepers.join(repeated, F.col("k").eqNullSafe(F.col("_r")), "left_semi")))
 
 
-def _keeper_rows(docs: DataFrame, key, text: str, keepers: DataFrame) -> DataFrame:
+def _keeper_rows(docs: DataFrame, key, text: str, prints, keepers: DataFrame) -> DataFrame:
     """The rows that keepers (k, fp) name, one for each."""
     names = iter(f"_{x}{'_' * len(max(docs.columns, key=len))}" for x in ("k", "fp", "h"))  # longer than any column's name
     k, fp, h = names
@@ -167,8 +174,7 @@ def _keeper_rows(docs: DataFrame, key, text: str, keepers: DataFrame) -> DataFra
 
     def make():
         def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-            fps = np.array([fingerprint(shingle_hashes(t)) for t in texts_of(piece, text)], dtype=np.uint64)
-            return piece.append_column(fp, pa.array(fps.view(np.int64)))
+            return piece.append_column(fp, pa.array(prints(texts_of(piece, text))))
 
         return work
 
