@@ -1,6 +1,8 @@
 """Secret scans: fixed patterns plus a battery of randomness tests with false-discovery control.
 
-Candidates are maximal runs of token characters. The encoding of each is inferred (hex, lower or
+Candidates are maximal runs of token characters, less what the fixed patterns found, cut after
+``=``; words that ``/``, ``-`` or ``_`` join to their ends are cut off, and each part between such
+signs is tested too. The encoding of each is inferred (hex, lower or
 upper alphanumeric, base64), and three statistics are compared with what ordinary text of that
 length gives: the chi-squared distance from a uniform alphabet, the number of runs of character
 kinds, and the serial correlation of neighbouring characters. The moments of ordinary text come
@@ -36,6 +38,11 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: A run is cut after ``=``, which stays with what it pads; parts lie between the signs that join names.
+SEGMENT = re.compile(r"[^=]+=*")
+SIGNS = "/_-="
+PART = re.compile(r"[^/_-]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HINTS = (b"passw", b"secret", b"token", b"api")
 REPLACEMENT = "[SECRET]"
 FDR = 0.01
@@ -159,18 +166,48 @@ def length_class(n: int) -> int:
     return sum(n >= x for x in LENGTHS) - 1
 
 
+def left_over(text: str, start: int, end: int, base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What sorted spans leave of a run, less a sign that joined it to one of them."""
+    out, at = [], start
+    for s, e in [*base, (end, end)]:
+        if s > at:
+            out.append((at + (at > start and text[at] in SIGNS), s - (s < end and text[s - 1] in SIGNS)))
+        at = max(at, e)
+    return out
+
+
+def options(segment: str) -> list[tuple[int, int]]:
+    """Spans of a segment to test: without words joined to its ends, and its parts; all long enough."""
+    parts = [m.span() for m in PART.finditer(segment)]
+    words = [e - s >= 3 and WORD.fullmatch(segment, s, e) is not None for s, e in parts]
+    first = next((i for i, w in enumerate(words) if not w), 0)
+    last = len(parts) - next((i for i, w in enumerate(reversed(words)) if not w), 0)
+    core = (parts[first][0] if first else 0, parts[last - 1][1] if last < len(parts) else len(segment)) if parts else (0, 0)
+    if core[1] - core[0] < LENGTHS[0]:
+        core = (0, len(segment))
+    return [core, *(x for x in parts if x[1] - x[0] >= LENGTHS[0] and x != core)]
+
+
 def candidates(text: str, base: list[Span], null: dict[str, Null]) -> list[tuple[int, int, int]]:
-    """(start, end, bin of p) of token runs outside the base spans that pass as random."""
+    """(start, end, bin of p) of what the base spans leave of token runs and passes as random.
+
+    Of a segment and its parts the more significant go; p counts the tests made on the segment.
+    """
     out, k = [], 0
     ends = sorted((s, e) for s, e, _ in base)
     for m in CANDIDATE.finditer(text):
         while k < len(ends) and ends[k][1] <= m.start():
             k += 1
-        if any(m.start() < e for s, e in takewhile(lambda x: x[0] < m.end(), islice(ends, k, None))):
-            continue
-        p = p_value(m[0], null)
-        if p and p[1] >= RANDOM_ALPHA:
-            out.append((m.start(), m.end(), bin_of(p[0])))
+        for s, e in left_over(text, m.start(), m.end(), list(takewhile(lambda x: x[0] < m.end(), islice(ends, k, None)))):
+            for x in SEGMENT.finditer(text, s, e):
+                if x.end() - x.start() < LENGTHS[0]:
+                    continue
+                spans = options(x[0])
+                tested = [(p[0], *span) for span in spans if (p := p_value(x[0][slice(*span)], null)) and p[1] >= RANDOM_ALPHA]
+                best = max(tested, key=lambda x: bin_of(x[0]), default=None)  # of equals the whole
+                for p, a, b in tested:
+                    if (p, a, b) == best or best[1:] != spans[0] and (a, b) != spans[0]:
+                        out.append((x.start() + a, x.start() + b, bin_of(min(1.0, p * len(spans)))))
     return out
 
 
