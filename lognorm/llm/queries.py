@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL twins."""
+"""The registered queries of the operators, and their SQL twins."""
 
 from __future__ import annotations
 
@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lognorm.llm import language_model, quality, toxicity, warc
+from lognorm.llm.alignment import aligned
 from lognorm.llm.common import fold, table
 from lognorm.llm.decontaminate import contained_items
 from lognorm.llm.nearest import nearest
+from lognorm.llm.packing import packed
+from lognorm.llm.runs import summaries
 from lognorm.llm.secret_scan import find_secrets
 from lognorm.llm.sentencepiece_codec import encoded
 from lognorm.llm.simhash import near_duplicates
@@ -190,3 +193,18 @@ def op6_language_model(spark, sf_dir):
     key = F.col("doc_id")
     found = language_model.score_corpus(docs, fold(key, 7) != 2)
     return found.select("doc_id", held_out(key, 7, 2), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_alignment(spark, sf_dir):
+    return aligned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_packing(spark, sf_dir):
+    return packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_runs(spark, sf_dir):
+    return summaries(table(spark, sf_dir, "documents"), plant=True)
