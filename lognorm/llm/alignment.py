@@ -45,36 +45,15 @@ SLICE = 1 << 20
 _NONE = np.zeros(0, np.int64)
 
 
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[str, int, list[int]]:
-    """(groups, number of groups, pairs linked) of two runs of ids with the same bytes."""
-    groups, links = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = size_a[a[0]], size_b[b[0]]
-    while True:
-        links.append(a[i] * PAIR + b[j])
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return ";".join(groups), len(groups), links
-            first_a, first_b = i, j
-            end_a, end_b = end_a + size_a[a[i]], end_b + size_b[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[a[i]]
-        else:
-            j += 1
-            end_b += size_b[b[j]]
-
-
 class Aligner:
     """Aligns slices of texts; ``tokenizer`` is A's file, ``model`` B's."""
 
     def __init__(self, tokenizer: str, model: str):
         self.encode_a, self.encode_b = byte_level(tokenizer, plain=True), sentence_pieces(model)
         self.bytes_a, self.bytes_b = byte_level_bytes(tokenizer), piece_bytes(model)
-        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
-        self.sizes_a, self.sizes_b = np.array(self.size_a), np.array(self.size_b)
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, t))) for t in (self.bytes_a, self.bytes_b))
+        self.vocabulary = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(self.vocabulary)]  # an id, then what follows it
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
         self._reset()
 
@@ -84,18 +63,35 @@ class Aligner:
         self.n_groups, self.starts, self.lengths, self.links = _NONE, _NONE, _NONE, _NONE
 
     def _learn(self, windows: list[bytes]):
-        found = []
-        for w in windows:
-            ids = np.frombuffer(w, np.int32).tolist()
-            cut = next(n for n, x in enumerate(ids) if x < 0)  # B's ids come second, as complements
-            found.append(align(ids[:cut], [~x for x in ids[cut:]], self.size_a, self.size_b))
-        sizes = np.array([len(f[2]) for f in found])
+        """Aligns new windows, all in one sweep: within each, A's and B's tokens hold the same bytes."""
+        ids = np.frombuffer(b"".join(windows), np.int32)
+        lengths = np.fromiter(map(len, windows), np.int64, len(windows)) // ids.itemsize
+        of_b = ids < 0  # B's ids come second, as complements
+        a, b = ids[~of_b].astype(np.int64), ~ids[of_b].astype(np.int64)
+        window = np.repeat(np.arange(len(windows)), lengths)[~of_b]
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        first = np.searchsorted(ends_b, ends_a - self.sizes_a[a], side="right")
+        overlaps = np.searchsorted(ends_b - self.sizes_b[b], ends_a) - first
+        before = np.cumsum(overlaps) - overlaps
+        links = np.repeat(a * PAIR, overlaps) + b[np.repeat(first - before, overlaps) + np.arange(int(overlaps.sum()))]
+        at = np.searchsorted(ends_b, ends_a)
+        closes_a = ends_b[at] == ends_a
+        closes_b = np.zeros(len(b), bool)
+        closes_b[at[closes_a]] = True
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        written = np.empty(len(ids), np.int64)
+        written[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = np.where(closes_a, 1, 0) * self.vocabulary + a
+        written[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = np.where(closes_b, 2, 0) * self.vocabulary + b
+        parts, ends = list(map(self.written.__getitem__, written.tolist())), np.cumsum(lengths).tolist()
+        sizes = np.zeros(len(windows), np.int64)
+        np.add.at(sizes, window, overlaps)
         self.code.update(zip(windows, range(len(self.code), len(self.code) + len(windows)), strict=True))
-        self.groups += [f[0] for f in found]
-        self.n_groups = np.concatenate([self.n_groups, [f[1] for f in found]])
+        self.groups += ["".join(parts[x:y])[:-1] for x, y in zip([0, *ends], ends)]
+        self.n_groups = np.concatenate([self.n_groups, np.bincount(window[closes_a], minlength=len(windows))])
         self.starts = np.concatenate([self.starts, np.cumsum(sizes) - sizes + len(self.links)])
         self.lengths = np.concatenate([self.lengths, sizes])
-        self.links = np.concatenate([self.links, np.fromiter((x for f in found for x in f[2]), np.int64, int(sizes.sum()))])
+        self.links = np.concatenate([self.links, links])
 
     def tokens(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(A's ids, number of them a text, B's ids, number); none where the bytes do not come back."""
