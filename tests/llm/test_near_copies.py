@@ -64,3 +64,42 @@ def test_one_row_stays_of_copies_that_differ_in_many_bits(spark, documents):
     assert sorted(r.doc_id for r in nc.deduplicated(docs).collect()) == [1, 3]
     from lognorm.llm import simhash as sh
     assert bin(sh.fingerprint(sh.shingle_hashes(" ".join(base).encode())) ^ sh.fingerprint(sh.shingle_hashes(" ".join(other).encode()))).count("1") > sh.RADIUS
+
+
+def test_repeated_and_missing_ids(spark, documents):
+    text = " ".join(f"w{i}" for i in range(40))
+    other = " ".join(f"v{i}" for i in range(30))
+    rows = [(7, text), (7, text), (7, other), (None, text), (None, None), (3, text + " end"), (9, ""), (9, None), (4, other)]
+    got = sorted((str(r.doc_id), str(r.component_id)) for r in nc.near_copies(documents(rows)).collect())
+    assert got == sorted([("7", "3"), ("7", "3"), ("7", "4"), ("None", "3"), ("None", "9"), ("3", "3"), ("9", "9"), ("9", "9"), ("4", "4")])
+    assert nc.near_copies(documents([])).collect() == []
+
+
+def test_texts_of_many_thousand_words(spark, documents):
+    rng = random.Random(4)
+    long = [f"w{rng.randrange(50_000)}" for _ in range(30_000)]
+    near, far = list(long), list(long)
+    for i in range(0, 30_000, 100):
+        near[i] = "x"  # 5 of 100 shingles change: Jaccard 0.9
+    for i in range(0, 30_000, 30):
+        far[i] = "y"  # 5 of 30: 0.71
+    got = {r.doc_id: r.component_id for r in nc.near_copies(documents([(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(far))])).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
+@pytest.mark.parametrize("own", [150, 215])
+def test_shared_passages_make_few_pairs(spark, documents, monkeypatch, own):
+    """Texts of 1,000 common words and some of their own stay under 0.8: 0.77 and 0.70."""
+    joined = []
+    possible = nc._possible
+
+    def counted(pairs, sets):
+        joined.append(pairs.count())
+        return possible(pairs, sets)
+
+    monkeypatch.setattr(nc, "_possible", counted)
+    monkeypatch.setattr(nc, "SAMPLE", 1)
+    common = " ".join(f"b{i}" for i in range(1000))
+    rows = [(i, common + " " + " ".join(f"o{i}x{k}" for k in range(own))) for i in range(120)]
+    got = {r.doc_id: r.component_id for r in nc.near_copies(documents(rows)).collect()}
+    assert got == {i: i for i in range(120)} and sum(joined) <= 120
