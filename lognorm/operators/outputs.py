@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lognorm.operators.validate import INVALID, NO_PAYLOAD, OVERSIZE, SUCCESS, UNMATCHED, error_text
+from lognorm.operators.validate import INVALID, LATE, NO_PAYLOAD, OVERSIZE, SUCCESS, UNMATCHED, error_text
 from lognorm.schema import CLASS_FIELDS, UNKNOWN_CLASS, UNMATCHED_PARSER, UNMATCHED_TEXT, VALIDATION_PREFIX
 from lognorm.sources.parsers import ParserDef
 
-REASONS = {UNMATCHED: "unmatched", INVALID: "ocsf_validation_failed", OVERSIZE: "oversize", NO_PAYLOAD: "null_payload"}
-_TEXTS = {UNMATCHED: UNMATCHED_TEXT, OVERSIZE: "The payload is longer than allowed.", NO_PAYLOAD: "There is no payload."}
+REASONS = {UNMATCHED: "unmatched", INVALID: "ocsf_validation_failed", OVERSIZE: "oversize", NO_PAYLOAD: "null_payload", LATE: "late"}
+_TEXTS = {UNMATCHED: UNMATCHED_TEXT, OVERSIZE: "The payload is longer than allowed.", NO_PAYLOAD: "There is no payload.",
+          LATE: "The record came after its time had been decided."}
 SINK_MODES = ("stdout", "jsonl", "parquet")
 
 

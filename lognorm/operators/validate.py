@@ -13,6 +13,8 @@ from lognorm.sources.parsers import ParserDef
 SUCCESS, INVALID, UNMATCHED = "success", "validation_error", "dlq"
 # What the size guard turned away; such records are dead letters too.
 OVERSIZE, NO_PAYLOAD = "oversize", "null_payload"
+# What a stream could not take in order any more.
+LATE = "late"
 
 
 def validate(df: DataFrame, defs: list[ParserDef], enum_mode: str = "code") -> DataFrame:

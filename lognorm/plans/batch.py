@@ -40,9 +40,9 @@ def guarded_records(
     return with_dropped(normalize_records(kept, defs, enum_mode, unmapped_mode), dropped)
 
 
-def with_dropped(done: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Adds what the size guard turned away, with a status that says why; nothing else is set."""
-    why = F.when(F.col("raw").isNull(), NO_PAYLOAD).otherwise(OVERSIZE)
+def with_dropped(done: DataFrame, dropped: DataFrame, status: str | None = None) -> DataFrame:
+    """Adds what was turned away, with a status that says why (by default that of the size guard); nothing else is set."""
+    why = F.when(F.col("raw").isNull(), NO_PAYLOAD).otherwise(OVERSIZE) if status is None else F.lit(status)
     known = with_payload(dropped).withColumn("status", why)
     return done.unionByName(known.select(*[
         F.col(f.name) if f.name in known.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in done.schema]))

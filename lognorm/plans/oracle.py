@@ -282,6 +282,18 @@ SQL: dict[str, str] = {
     "dedup_hot_hash": RAW + """, marked AS (SELECT ingest_us,
         CASE WHEN event_id % 3 = 0 THEN '-- MARK --' ELSE payload END AS payload FROM raw_logs)"""
         + _KEPT.format(source="marked") + " SELECT h AS raw_sha256, ingest_us FROM kept",
+    "stream_dedup_late_order": RAW + """, marked AS (SELECT ingest_us,
+        CASE WHEN event_id % 3 = 0 THEN '-- MARK --' ELSE payload END AS payload FROM raw_logs)"""
+        + _KEPT.format(source="marked") + " SELECT h AS raw_sha256, ingest_us FROM kept",
+    "stream_late": RAW + """, filed AS (SELECT ingest_us, ingest_us // 300000000 AS bucket,
+        CASE WHEN event_id % 3 = 0 THEN '-- MARK --' ELSE payload END AS payload,
+        (ingest_us + CASE WHEN event_id % 50 = 7 THEN 432000 ELSE event_id * 7919 % 5400 END * 1000000) // 432000000000 AS file FROM raw_logs
+      ), files AS (SELECT file, max(max(bucket)) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+        FROM filed GROUP BY file
+      ), told AS (SELECT *, coalesce(bucket < newest - 24, false) AS is_late FROM filed JOIN files USING (file))"""
+        + _KEPT.format(source="(SELECT * FROM told WHERE NOT is_late)") + """, counts AS (
+      SELECT (SELECT count(*) FROM told) AS records, (SELECT count(*) FROM kept) AS accepted, (SELECT count(*) FROM told WHERE is_late) AS late)
+      SELECT *, records - accepted - late AS duplicates FROM counts""",
     "dedup_total": DEDUPED + """ SELECT ((SELECT count(*) FROM raw_logs) - (SELECT count(*) FROM records))::BIGINT AS skipped""",
     "dedup_nulls": RAW + """, given AS (SELECT CASE WHEN event_id % 13 <> 0 THEN payload END AS payload,
         CASE WHEN event_id % 17 <> 0 THEN ingest_us END AS ingest_us FROM raw_logs)""" + _KEPT.format(

@@ -32,6 +32,7 @@ from lognorm.sources.raw import replicate as copies
 from lognorm.sources.raw import to_payload as as_payload
 from lognorm.sources.synth import raw_logs, read_table
 from lognorm.streaming import stream
+from lognorm.streaming.event_time import EventTimeDedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -702,3 +703,59 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
         .option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start())
     running.awaitTermination()
     return spark.read.parquet(f"{out}/accepted").select("raw_sha256", micros())
+
+
+#: Records land in files of five days of arrival.
+_LANDING = 5 * 86_400_000_000
+
+
+def landed_late(spark: SparkSession, sf: str, arrival: str) -> str:
+    """The raw logs, a third of them one payload, in files by arrival time (SQL over ``event_id, us``), the first first."""
+    path = scratch_folder(spark, "landed")
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit("-- MARK --")).otherwise(F.decode("raw", "UTF-8"))
+    logs = raw_logs(spark, sf).withColumns({"raw": F.encode(hot, "UTF-8"), "us": F.unix_micros("ingest_ts")})
+    filed = logs.withColumn("file", F.expr(f"({arrival}) div {_LANDING}"))
+    first, last = filed.agg(F.min("file"), F.max("file")).head()
+    for n in range(first, last + 1):
+        filed.where(F.col("file") == n).select("raw", "ingest_ts", "source").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def drained(spark: SparkSession, folder: str, seconds: int, delay: int) -> tuple[DataFrame, DataFrame]:
+    """(accepted, late) of a folder read file by file, the stream finished."""
+    out = scratch_folder(spark, "stream")
+    dedup = EventTimeDedup(spark, f"{out}/dedup", seconds, delay)
+    batches = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        accepted, late = dedup(batch, batch_id)
+        accepted.write.mode("overwrite").parquet(f"{out}/accepted/{batch_id}")
+        late.write.mode("overwrite").parquet(f"{out}/late/{batch_id}")
+        batches.append(batch_id)
+
+    logs = stream.stream_logs(spark, folder, max_files=1, format="parquet")
+    logs.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    dedup.finish(max(batches) + 1).write.parquet(f"{out}/accepted/{max(batches) + 1}")
+    read = lambda kind: spark.read.option("recursiveFileLookup", "true").parquet(f"{out}/{kind}")
+    return read("accepted"), read("late")
+
+
+@query
+def stream_dedup_late_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Records arrive up to 90 minutes after their time; a third of them is one payload."""
+    folder = landed_late(spark, sf, "us + event_id * 7919 % 5400 * 1000000")
+    accepted, late = drained(spark, folder, 300, 7200)
+    return accepted.unionByName(late).select("raw_sha256", micros())
+
+
+@query
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """One record in fifty arrives five days after its time; what becomes of all."""
+    arrival = "us + IF(event_id % 50 = 7, 432000, event_id * 7919 % 5400) * 1000000"
+    folder = landed_late(spark, sf, arrival)
+    accepted, late = drained(spark, folder, 300, 7200)
+    taken = spark.read.parquet(folder).agg(F.count("*").alias("n")).select(F.lit("input").alias("what"), "n")
+    counted = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n") for name, df in (("accepted", accepted), ("late", late))]
+    rows = taken.unionAll(counted[0]).unionAll(counted[1])
+    return rows.groupBy().pivot("what", ["input", "accepted", "late"]).sum("n").select(
+        F.col("input").alias("records"), "accepted", "late", (F.col("input") - F.col("accepted") - F.col("late")).alias("duplicates"))

@@ -13,9 +13,11 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lognorm.operators.outputs import choose_sink, dlq_records, event_json, split_outputs
 from lognorm.operators.guard import MAX_BYTES
-from lognorm.plans.batch import guarded_records
+from lognorm.operators.validate import LATE
+from lognorm.plans.batch import guarded_records, with_dropped
 from lognorm.schema import RAW_LOGS
 from lognorm.sources.parsers import ParserDef
+from lognorm.streaming.event_time import EventTimeDedup
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -49,12 +51,12 @@ def stream_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 def dedup_stream(
     df: DataFrame, seconds: int = 300, mode: str = "exact", max_delay_seconds: int = 3600
 ) -> DataFrame:
-    """Windowed duplicate removal over a stream.
+    """Windowed duplicate removal over a stream, in order of arrival.
 
-    ``exact`` keeps one timestamp per hash, the last accepted one, and forgets it when event
-    time has passed it by the window. Records may arrive up to ``max_delay_seconds`` behind
-    the newest one. ``approximate`` stays in the JVM but may drop a repeat that comes later
-    than the window, until the watermark has passed.
+    ``exact`` decides each record at once and keeps one timestamp per hash, the last accepted
+    one. That is exact for records that arrive in the order of their times, such as those stamped
+    on arrival; for others use ``event_time.EventTimeDedup``. ``approximate`` stays in the JVM but
+    may drop a repeat that comes later than the window, until the watermark has passed.
     """
     hashed = df.withColumn("raw_sha256", F.sha2("raw", 256))
     if mode == "approximate":
@@ -107,16 +109,25 @@ def run_stream(
     dedup_seconds: int | None = 300,
     enum_mode: str = "code",
     max_bytes: int = MAX_BYTES,
+    event_time: EventTimeDedup | None = None,
 ) -> StreamingQuery:
     """Start normalising a stream into two sinks. Stop it with ``query.stop()``.
 
     Each micro-batch is processed once, kept on disk while both sinks write it. A replayed
     batch comes with the same id, so sinks that key their output by it do not repeat rows.
+
+    Duplicates are removed in order of arrival; with ``event_time`` in the order of their times,
+    whatever order they arrive in, once the time is closed (``dedup_seconds`` is not used then).
+    Late records become dead letters with reason ``late``.
     """
-    records = source if dedup_seconds is None else dedup_stream(source, dedup_seconds)
+    records = source if dedup_seconds is None or event_time is not None else dedup_stream(source, dedup_seconds)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = guarded_records(batch, defs, enum_mode, max_bytes=max_bytes).persist()
+        late = None
+        if event_time is not None:
+            batch, late = event_time(batch, batch_id)
+        done = guarded_records(batch, defs, enum_mode, max_bytes=max_bytes)
+        done = (done if late is None else with_dropped(done, late, LATE)).persist()
         try:
             events, _ = split_outputs(done)
             events_sink(events, batch_id)
