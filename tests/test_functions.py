@@ -217,3 +217,37 @@ def test_definitions_with_raising_expressions_are_refused(spark, expr):
         parse_definition(doc)
     doc["field_mappings"][0]["expr"] = "truncate(title(v), 20)"
     assert parse_definition(doc).name == "d"
+
+
+@pytest.mark.parametrize("expr", [
+    "sequence(1, 100000000)", "sequence(1, 5, 0)", "sequence(5, 1, 1)", "regexp_extract(v, '(a)', 5)", "regexp_extract(v, 'a')", "regexp_replace(v, w, '')",
+    "regexp_replace(v, 'a', '$1')", "regexp_replace(v, 'a', w)", "regexp_replace(v, '(a|b)*', '')", "regexp_count(v, '(?:ab)+')", "rlike(v, w)",
+    "v like w", "v like 'a\\\\b'", "split_part(v, ',', 0)", "lpad(v, 100000, 'x')", "rpad(v, try_cast(w as int), 'x')", "slice(split(v, ','), 0, 1)",
+    "slice(split(v, ','), 1, -1)", "try_element_at(split(v, ','), 0)", "try_element_at(split(v, ','), try_cast(w as int))", "map('a', v, 'a', w)",
+    "map(v, w)", "replace(v, 'a', w)", "array_join(split(v, ','), w)", "concat_ws(w, split(v, ','))", "transform(split(v, ','), x -> v)",
+    "try_cast(v as bigint) div -1", "round(try_cast(v as bigint), -1)", "array_join(transform(split(v, ','), x -> lpad(x, 500)), 'abc')",
+    "regexp_replace(v, '(', '')", "regexp_extract(v, '[(]', 1)", "center(v, 5000)", "transform(sequence(1, 500), x -> lpad('a', 500, 'b'))",
+])
+def test_expressions_that_could_raise_or_grow_are_refused_unseen(expr):
+    """Before anything runs."""
+    with pytest.raises(UnsafeExpression):
+        rewrite(expr, frozenset(["v", "w"]), str)
+
+
+TOTAL = [
+    "string(abs(try_cast(v AS BIGINT)))", "regexp_extract(v, '([0-9]+)', 1)", "regexp_extract(v, '[(]', 0)", "regexp_replace(v, '(.)[)]', '$1')",
+    "lpad(v, 100, w)", "split_part(v, w, -1)", "case when v like '%(%' then w else v end", "array_join(slice(split(v, '('), -1, 1), '|')",
+    "try_element_at(split(v, ','), 2)", "string(try_cast(v AS BIGINT) div 2)", "string(round(try_cast(v AS DOUBLE), 2))", "concat_ws(';', v, w)",
+    "string(size(sequence(1, 900)))", "replace(v, w, 'zz')", "string(rlike(v, '^[(]*+$'))", "truncate(title(v), 20)", "center(v, 80)", "left(v, try_cast(w AS INT))",
+    "substring(v, try_cast(w AS INT), 5)", "string(try_add(try_cast(v AS BIGINT), try_cast(w AS BIGINT)))", "join(sort(unique(split(v, ','))), ';')",
+    "try_element_at(map('a', v, 'b', w), 'a')", "string(greatest(try_cast(v AS INT), 3))",
+]
+
+
+@pytest.mark.parametrize("expr", TOTAL)
+def test_accepted_expressions_take_every_pair_of_hostile_values(spark, expr):
+    from lognorm.functions.expressions import HOSTILE
+
+    assert expression_error(spark, expr, ["v", "w"]) is None
+    df = spark.createDataFrame([({"v": a, "w": b},) for a in HOSTILE for b in HOSTILE], "groups map<string,string>")
+    assert len(df.select(F.length(safe_expr(expr, ["v", "w"]).cast("string")).alias("n")).collect()) == len(HOSTILE) ** 2
