@@ -6,8 +6,11 @@ lines sshd writes about an attempt, three entries of the ASA message catalogue,
 of the two JSON records. They are narrower than "any word" on purpose: a priority is 0 to 191,
 a month is a month, a port has five digits at most, a header field has the length and the
 characters its RFC allows, brackets inside quoted parameter values don't end structured data,
-several elements of it stay together, and a JSON record may hold objects one level deep before
-its keys. What falls outside is a dead letter. sshd's protocol ends at a colon.
+and several elements of it stay together. What falls outside is a dead letter. sshd's protocol
+ends at a colon. A JSON record may hold anything before its keys, whatever its braces.
+
+Repeated groups are possessive: Java's engine otherwise calls itself once a repetition, and one
+long line would overflow the stack and end the executor.
 """
 
 from __future__ import annotations
@@ -24,11 +27,11 @@ _PRI = "<(?P<pri>[0-9]|[1-9][0-9]|1[0-8][0-9]|19[01])>"
 # RFC 5424: full-date "T" full-time, or the nil value.
 _RFC3339 = f"(?P<timestamp>-|[0-9]{{4}}-[01][0-9]-[0-3][0-9]T{_CLOCK}(?:[.][0-9]{{1,6}})?(?:Z|[+-][0-9]{{2}}:[0-9]{{2}}))"
 # The inside of "[id name="value" ...]"; a value may hold escaped quotes and brackets.
-_ELEMENT = r'[^"\]]*(?:"(?:[^"\\]|\\.)*"[^"\]]*)*'
+_ELEMENT = r'[^"\]]*+(?:"(?:[^"\\]|\\.)*+"[^"\]]*+)*+'
 _ADDRESS = "[0-9A-Za-z.:%_-]+"
 _PORT = "[0-9]{1,5}"
-# Inside a JSON object, with objects in it one level deep.
-_MEMBERS = r"[^{}]*(?:\{[^{}]*\}[^{}]*)*"
+# What stands before a key of a JSON record: as little as possible of anything, or as much as the line holds.
+_ANYTHING, _LINE = r"[\s\S]*?", r"[^\n]*"
 
 
 def _definition(name: str, vendor: str, log_format: str, priority: int, ocsf: tuple[str, int, int],
@@ -68,16 +71,16 @@ def _attempt(outcome: str, user: str) -> str:
     )
 
 
-def _record(*keys: str, rest: str = "[^}]*") -> str:
-    """A JSON object with the keys in that order, up to the first brace that closes after ``rest``."""
-    return r"(?P<msg>\{" + "".join(rf'{_MEMBERS}"{k}"\s*:' for k in keys) + rest + r"\})"
+def _record(*keys: str, before: str = _ANYTHING, rest: str = "[^}]*") -> str:
+    """A JSON object with the keys in that order, up to a brace that closes after ``rest``."""
+    return r"(?P<msg>\{" + "".join(rf'{before}"{k}"\s*:' for k in keys) + rest + r"\})"
 
 
 BASE = ("base_event", 0, 0)
 
 MACOS_UNIFIED = _definition(
     "macos_unified", "apple", "json", 50, BASE,
-    [_record("eventMessage", "subsystem", rest=_MEMBERS)],
+    [_record("eventMessage", "subsystem", before=_LINE, rest=_LINE)],
     [_field("message", "msg")],
 )
 WINDOWS_EVENT = _definition(
@@ -121,7 +124,7 @@ RFC5424_FALLBACK = _definition(
     "rfc5424_fallback", "generic", "syslog", 999, BASE,
     [
         _PRI + f"(?P<version>[1-9][0-9]{{0,2}}) +{_RFC3339} +{_HOST} +(?P<app_name>[!-~]{{1,48}}) +(?P<procid>[!-~]{{1,128}})"
-        r" +(?P<msgid>[!-~]{1,32}) +" + rf"(?:\[(?P<structured_data>{_ELEMENT}(?:\]\[{_ELEMENT})*)\] *)?" + r"(?P<message>[^\n]*)",
+        r" +(?P<msgid>[!-~]{1,32}) +" + rf"(?:\[(?P<structured_data>{_ELEMENT}(?:\]\[{_ELEMENT})*+)\] *)?" + r"(?P<message>[^\n]*)",
         _PRI + f"{_BSD_TIME} +{_HOST} +" + r"(?P<message>[^\n]*)",
     ],
     [

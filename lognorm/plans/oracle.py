@@ -58,21 +58,30 @@ RAW = f"""WITH arrivals AS (
         {_E} % 192, {_ISO}, {_U} % 50, {_U} % 7, {_E} % 30000, {_E} % 100, {_E}, {_U})
       ELSE printf('<%d>%s host%d app%d: page viewed by user%d', {_E} % 192, {_TIME}, {_U} % 50, {_U} % 7, {_U}) END
     ELSE CASE event_id % 3
-      WHEN 0 THEN printf('{{"EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}}',
-        4000 + {_E} % 1000, {_U} % 500, {_E})
-      WHEN 1 THEN printf('{{"eventMessage":"order %d placed","subsystem":"com.example.shop%d"}}', {_E}, {_U} % 9)
+      WHEN 0 THEN CASE event_id % 2
+        WHEN 0 THEN printf('{{"EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}}', 4000 + {_E} % 1000, {_U} % 500, {_E})
+        ELSE printf('{{"Event": {{"System": {{"Level": {{"n": %d}}}}}}, "Script": "if (x) {{", "EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}}',
+          {_E} % 6, 4000 + {_E} % 1000, {_U} % 500, {_E}) END
+      WHEN 1 THEN CASE event_id % 2
+        WHEN 0 THEN printf('{{"eventMessage":"order %d placed","subsystem":"com.example.shop%d"}}', {_E}, {_U} % 9)
+        ELSE printf('{{"trace":{{"ids":{{"a":{{"b":%d}}}}}},"eventMessage":"order %d }} placed","subsystem":"com.example.shop%d"}}', {_E} % 10, {_E}, {_U} % 9) END
       ELSE printf('%d,%s,order,user%d,THREAT,denied', {_E}, {_ISO}, {_U}) END
     END AS payload
   FROM arrivals
 )"""
 
 
+def _pattern(p: str) -> str:
+    """DuckDB's engine has no possessive repetition and needs none."""
+    return text("^(?:" + re.sub(r"([*+])\+", r"\1", p) + ")")
+
+
 def _routes(defs: list[ParserDef]) -> str:
     """CTEs ``routed`` (parser, pattern_id per record)."""
     whens, names, i = [], [], 0
     for d in defs:
         for p in d.match_patterns:
-            whens.append(f"WHEN regexp_matches(payload, {text('^(?:' + p + ')')}) THEN {i}")
+            whens.append(f"WHEN regexp_matches(payload, {_pattern(p)}) THEN {i}")
             names.append((i, text(d.name), text(d.ocsf_class)))
             i += 1
     return f""", numbered AS (SELECT *, CASE {' '.join(whens)} END AS pattern_id FROM records
@@ -89,7 +98,7 @@ def _groups(parser: str) -> str:
         own = list(re.compile(p).groupindex)
         listed = ", ".join(text(n) for n in own)
         cols = ", ".join(f"g.{n} AS {n}" if n in own else f"NULL::VARCHAR AS {n}" for n in definition.group_names)
-        anchored = text("^(?:" + p + ")")
+        anchored = _pattern(p)
         parts.append(f"SELECT event_id, ingest_us, ingest_ts, payload, pattern_id, {cols} FROM (SELECT *, "
                      f"regexp_extract(payload, {anchored}, [{listed}]) AS g FROM routed WHERE pattern_id = {first + i})")
     return "(" + " UNION ALL BY NAME ".join(parts) + ")"
@@ -382,6 +391,16 @@ SQL: dict[str, str] = {
         'fallback' AS defaulted, 'A,b,' || event_type AS sorted,
         CASE event_type WHEN 'click' THEN 'Click,VIEW' WHEN 'view' THEN 'Click,view' ELSE 'Click,' || event_type || ',VIEW' END AS uniques
         FROM (SELECT *, 11 - length(event_type) AS pad FROM t)""",
+    "hostile_values": r"""WITH kinds AS (SELECT ['', '(', 'x', '-9223372036854775808', repeat('9', 400), '$9\', repeat('a,(b', 2000), NULL] AS k),
+      t AS (SELECT event_id, k[1 + event_id % 8] AS v0, k[1 + event_id // 8 % 8] AS w0 FROM events, kinds),
+      g AS (SELECT event_id, coalesce(v0, '') AS v, coalesce(w0, '') AS w, try_cast(v0 AS BIGINT) AS n, try_cast(w0 AS BIGINT) AS m FROM t)
+      SELECT event_id, sha256(upper(v)) AS upper_text, sha256(coalesce(n, -1)::VARCHAR) AS number,
+        sha256(CASE WHEN n > -9223372036854775808 THEN abs(n) END::VARCHAR) AS distance, sha256(regexp_extract(v, '([0-9]+)', 1)) AS digits,
+        sha256(replace(v, '(', '<')) AS opened, sha256(string_split(v, ',')[2]) AS second, sha256(lpad(v, 12, '*')) AS padded,
+        sha256(string_split(v, ',')[-1]) AS last_part, sha256(CASE WHEN contains(v, '(') THEN 'open' ELSE w END) AS told,
+        sha256(v || ';' || w) AS both, sha256(replace(v, '9', '88')) AS doubled, sha256(len(string_split(v, '('))::VARCHAR) AS pieces,
+        sha256(CASE WHEN n::HUGEINT + m BETWEEN -9223372036854775808 AND 9223372036854775807 THEN (n::HUGEINT + m)::VARCHAR END) AS total,
+        sha256((n // 3)::VARCHAR) AS third FROM g""",
     "draft_parsers": _DRAFTS + """ SELECT raw_sha256, 'fake' AS model, CASE WHEN n = 2 THEN 'failed' ELSE 'drafted' END AS status,
         (CASE n WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END)::BIGINT AS attempts,
         CASE WHEN n < 2 THEN 'csv_' || id END AS parser FROM dead""",

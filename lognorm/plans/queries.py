@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lognorm.builtin_rules import LINUX_SSHD, builtin_parsers
 from lognorm.functions import text as fx
 from lognorm.functions.coerce import coerce
+from lognorm.functions.expressions import safe_expr
 from lognorm.functions.payload import fingerprint
 from lognorm.functions.triage import detail_label, harm_tag, preview, search
 from lognorm.operators import drafting, enums, metrics, outputs, recent, rules
@@ -616,6 +617,30 @@ def expr_numbers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: What machine-drafted definitions may write, by output column.
+HOSTILE_EXPRESSIONS = {
+    "upper_text": "upper(v)", "number": "string(coalesce(try_cast(v AS BIGINT), -1))", "distance": "string(abs(try_cast(v AS BIGINT)))",
+    "digits": "regexp_extract(v, '([0-9]+)', 1)", "opened": "regexp_replace(v, '[(]', '<')", "second": "try_element_at(split(v, ','), 2)",
+    "padded": "lpad(v, 12, '*')", "last_part": "split_part(v, ',', -1)", "told": "case when v like '%(%' then 'open' else w end",
+    "both": "concat_ws(';', v, w)", "doubled": "replace(v, '9', '88')", "pieces": "string(size(split(v, '(')))",
+    "total": "string(try_add(try_cast(v AS BIGINT), try_cast(w AS BIGINT)))", "third": "string(try_cast(v AS BIGINT) div 3)",
+}
+
+
+@query
+def hostile_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted expressions on every pair of values that raise, overflow or grow where nothing guards."""
+    e = F.col("event_id")
+
+    def value(n: Column) -> Column:
+        texts = ["", "(", "x", "-9223372036854775808", "9" * 400, "$9\\", "a,(b" * 2_000, None]
+        return F.get(F.array(*[F.lit(t) for t in texts]), n.cast("int"))
+
+    groups = F.create_map(F.lit("v"), value(e % 8), F.lit("w"), value(F.floor(e / 8) % 8))
+    events = read_table(spark, sf, "events").select("event_id", groups.alias("groups"))
+    return events.select("event_id", *[F.sha2(safe_expr(text, ["v", "w"]), 256).alias(name) for name, text in HOSTILE_EXPRESSIONS.items()])
+
+
 # ------------------------------------------------------------------ drafting
 
 

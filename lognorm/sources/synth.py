@@ -56,8 +56,12 @@ _LINE = f"""CASE event_type
       e % 192, {_ISO_TIME}, u % 50, u % 7, e % 30000, e % 100, e, u)
     ELSE format_string('<%d>%s host%d app%d: page viewed by user%d', e % 192, {_SYSLOG_TIME}, u % 50, u % 7, u) END
   ELSE CASE e % 3
-    WHEN 0 THEN format_string('{{"EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}}',
-      4000 + e % 1000, u % 500, e)
-    WHEN 1 THEN format_string('{{"eventMessage":"order %d placed","subsystem":"com.example.shop%d"}}', e, u % 9)
+    WHEN 0 THEN CASE WHEN e % 2 = 0
+      THEN format_string('{{"EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}}', 4000 + e % 1000, u % 500, e)
+      ELSE format_string('{{"Event": {{"System": {{"Level": {{"n": %d}}}}}}, "Script": "if (x) {{", "EventID": %d, "MachineName": "PC%d", "Message": "order %d failed"}}',
+        e % 6, 4000 + e % 1000, u % 500, e) END
+    WHEN 1 THEN CASE WHEN e % 2 = 0
+      THEN format_string('{{"eventMessage":"order %d placed","subsystem":"com.example.shop%d"}}', e, u % 9)
+      ELSE format_string('{{"trace":{{"ids":{{"a":{{"b":%d}}}}}},"eventMessage":"order %d }} placed","subsystem":"com.example.shop%d"}}', e % 10, e, u % 9) END
     ELSE format_string('%d,%s,order,user%d,THREAT,denied', e, {_ISO_TIME}, u) END
   END"""
