@@ -9,19 +9,16 @@ def frame(spark, rows):
 
 
 def brute(rows, k=5, every=50):
-    best = {}
-    for i, v in rows:
-        if i is not None and v is not None and None not in v and np.isfinite(v).all() and any(v):
-            best[i] = min(best.get(i, v), v)
-    ids = np.array(sorted(best))
-    m = np.array([best[i] for i in ids.tolist()], dtype=np.float32).astype(float).reshape(len(ids), -1)
-    norm = np.sqrt((m * m).sum(axis=1))
+    """Of every row with a query id, in order of rows: its nearest other rows of its length."""
+    fine = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows
+            if v is not None and None not in v and np.isfinite(v).all() and any(v)]
     out = {}
-    for q in np.flatnonzero(ids % every == 0):
-        s = (m * m[q]).sum(axis=1) / (norm * norm[q])
-        order = [j for j in np.lexsort((ids, -s)) if j != q][:k]
-        out[int(ids[q])] = [(int(ids[j]), s[j]) for j in order]
-    return out
+    for q, (i, x) in enumerate(fine):
+        if i is not None and i % every == 0:
+            scores = [(-(x * y).sum() / (np.sqrt((x * x).sum()) * np.sqrt((y * y).sum())), 1 << 62 if j is None else j)
+                      for n, (j, y) in enumerate(fine) if n != q and len(y) == len(x)]
+            out.setdefault(i, []).append([(j, -s) for s, j in sorted(scores)[:k]])
+    return {i: v[0] for i, v in out.items()} if all(len(v) == 1 for v in out.values()) else out
 
 
 def found(df):
@@ -66,7 +63,7 @@ def test_rows_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [1.0, None]), (6, [1.0, 1.0]), (7, [1.0, 1.0, 1.0]),
             (None, [1.0, 0.5]), (8, [0.5, 0.1]), (8, [0.5, 0.1]), (50, []), (100, [-1.0, 0.25]), (9, [1e30, 1e30])]
     got = found(nn.nearest(frame(spark, rows), "vec_id % 50 = 0"))
-    assert {q: [a for a, _ in v] for q, v in got.items()} == {0: [8, 6, 9, 100], 100: [6, 9, 8, 0]}
+    assert {q: [a for a, _ in v] for q, v in got.items()} == {0: [8, 8, None, 6, 9], 100: [6, 9, None, 8, 8]}
     assert nn.nearest(frame(spark, []), "vec_id % 50 = 0").count() == 0
     assert nn.nearest(frame(spark, [(0, [1.0])]), "vec_id % 50 = 0").count() == 0
     assert nn.nearest(frame(spark, [(1, [1.0]), (2, [2.0])]), "vec_id % 50 = 0").count() == 0
@@ -81,3 +78,16 @@ def test_chi_square():
     u = v / np.linalg.norm(v, axis=1, keepdims=True)
     true = ((u[:2000] - u[2000:]) ** 2).sum(axis=1)
     assert 0.975 < np.mean(far <= nn.STOP * true) < 1.0
+
+
+def test_repeated_ids_and_mixed_lengths(spark):
+    """Every row is a candidate; a query in two rows is asked twice; lengths do not mix."""
+    rng = np.random.default_rng(9)
+    number = lambda: float(np.float32(rng.normal()))
+    rows = [(int(rng.integers(0, 200)), [number() for _ in range(3 + n % 3)]) for n in range(900)] + [(7, [1.0, 0.0, 0.0]), (7, [0.0, 1.0, 0.0]), (1000, [1.0, 0.01, 0.0])]
+    got = nn.nearest(frame(spark, rows), "vec_id % 50 = 0").collect()
+    want = brute(rows)
+    have = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got)
+    full = sorted((q, n + 1, j, round(s, 9)) for q, lists in want.items() for found in lists for n, (j, s) in enumerate(found))
+    assert len(have) == len(full) and len(set(have) & set(full)) >= 0.99 * len(set(full))
+    assert (1000, 1, 7) in {h[:3] for h in have}
