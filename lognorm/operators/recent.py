@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lognorm.session import cut_lineage
+
 HISTORY_SIZE = 200
 CHART_POINTS = 30
+#: Samples of a counter that one task compares.
+TASK_ROWS = 1_000_000
 
 
 def events_per_second(df: DataFrame) -> DataFrame:
@@ -16,21 +20,28 @@ def events_per_second(df: DataFrame) -> DataFrame:
     return df.groupBy(second.alias("second")).agg(F.count("*").alias("events"))
 
 
-def rate_from_counter(samples: DataFrame, ts: str = "ts", value: str = "value") -> DataFrame:
-    """Increase of a running counter since the previous sample, never negative: adds ``rate``.
+def rate_from_counter(
+    samples: DataFrame, ts: str = "ts", value: str = "value", series: str | None = None, rows: int = TASK_ROWS
+) -> DataFrame:
+    """Increase of a running counter since the previous sample of its series, never negative: adds ``rate``.
 
-    Samples are compared within their hour; the first of each hour takes the last value of
-    the hour before from a table with one row per hour, so no task sees the whole series.
+    Samples are dealt out by ranges of (series, time) that hold about ``rows`` each, whatever
+    their density, and compared within their range. The first of a range takes the last value of
+    the series' range before, from a table with one row for each range and series. The ranges are
+    written down, so that every later step sees the same ones. A first sample counts from zero.
     """
-    bucketed = samples.withColumn("_hour", F.date_trunc("hour", ts))
-    last = bucketed.groupBy("_hour").agg(F.max_by(value, ts).alias("_last"))
-    before = last.select("_hour", F.lag("_last").over(W.orderBy("_hour")).alias("_before"))
-    within = F.lag(value).over(W.partitionBy("_hour").orderBy(ts))
+    key = F.lit(0) if series is None else F.col(series)
+    ranges = max(1, -(-samples.count() // rows))
+    placed = cut_lineage(samples.withColumn("_series", key).repartitionByRange(ranges, "_series", ts).withColumn("_range", F.spark_partition_id()))
+    last = placed.groupBy("_series", "_range").agg(F.max_by(value, ts).alias("_last"))
+    before = last.select("_series", "_range", F.lag("_last").over(W.partitionBy("_series").orderBy("_range")).alias("_before"))
+    within = F.lag(value).over(W.partitionBy("_series", "_range").orderBy(ts))
+    same = F.col("s._series").eqNullSafe(F.col("b._series")) & (F.col("s._range") == F.col("b._range"))
     previous = F.coalesce(F.col("_within"), F.col("_before"), F.lit(0))
     return (
-        bucketed.withColumn("_within", within).join(before, "_hour")
+        placed.withColumn("_within", within).alias("s").join(before.alias("b"), same)
         .withColumn("rate", F.greatest(F.col(value) - previous, F.lit(0)))
-        .drop("_hour", "_within", "_before")
+        .select(*samples.columns, "rate")
     )
 
 

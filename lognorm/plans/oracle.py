@@ -343,6 +343,10 @@ SQL: dict[str, str] = {
     "eps_window": RAW + " SELECT ingest_us // 1000000 AS second_s, count(*) AS events FROM raw_logs GROUP BY ALL",
     "eps_lag": """SELECT event_id, event_id % 1000 AS value,
         greatest(event_id % 1000 - lag(event_id % 1000, 1, 0) OVER (ORDER BY ts), 0) AS rate FROM events""",
+    "eps_lag_series": """WITH s AS (SELECT (event_id * 100 + i) % 3600000000 AS us, least(event_id % 4, 2) AS series,
+          (event_id * 100 + i) % 70001 AS value FROM events, range(100) AS r(i)),
+        r AS (SELECT series, greatest(value - lag(value, 1, 0) OVER (PARTITION BY series ORDER BY us), 0) AS rate FROM s)
+        SELECT series, count(*) AS samples, sum(rate)::BIGINT AS total, max(rate) AS most, count(*) FILTER (rate = 0) AS resets FROM r GROUP BY series""",
     "last_30_points": RAW + """ SELECT ingest_us // 1000000 AS second_s, count(*) AS events FROM raw_logs
         GROUP BY ALL ORDER BY second_s DESC LIMIT 30""",
     "last_30_per_source": RAW + """ SELECT source, event_id, ingest_us FROM raw_logs

@@ -444,6 +444,18 @@ def eps_lag(spark: SparkSession, sf: str) -> DataFrame:
     return recent.rate_from_counter(counter_samples(spark, sf)).select("event_id", "value", "rate")
 
 
+@query
+def eps_lag_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Three counters, each event sampled a hundred times, all within one hour."""
+    e, i = F.col("event_id"), F.col("i")
+    samples = read_table(spark, sf, "events").select("event_id", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i")).select(
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + (e * 100 + i) % 3_600_000_000).alias("ts"),
+        F.least(e % 4, F.lit(2)).alias("series"), ((e * 100 + i) % 70_001).alias("value"))
+    rates = recent.rate_from_counter(samples, series="series", rows=100_000)
+    return rates.groupBy("series").agg(
+        F.count("*").alias("samples"), F.sum("rate").alias("total"), F.max("rate").alias("most"), F.count_if(F.col("rate") == 0).alias("resets"))
+
+
 @query
 def last_30_points(spark: SparkSession, sf: str) -> DataFrame:
     eps = recent.events_per_second(raw_logs(spark, sf))

@@ -251,3 +251,25 @@ def test_accepted_expressions_take_every_pair_of_hostile_values(spark, expr):
     assert expression_error(spark, expr, ["v", "w"]) is None
     df = spark.createDataFrame([({"v": a, "w": b},) for a in HOSTILE for b in HOSTILE], "groups map<string,string>")
     assert len(df.select(F.length(safe_expr(expr, ["v", "w"]).cast("string")).alias("n")).collect()) == len(HOSTILE) ** 2
+
+
+def test_counter_rates_by_series_over_small_ranges(spark):
+    """Ranges of about 50 rows, one series with most of them, a null series, gaps and restarts."""
+    import random
+    from datetime import datetime, timedelta
+
+    from lognorm.operators.recent import rate_from_counter
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "a", "a", "a", "b", None]), datetime(2026, 1, 1) + timedelta(milliseconds=n), rng.randint(0, 99), n) for n in range(1000)]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "name string, ts timestamp, value long, n long")
+    want, last = {}, {}
+    for name, _, value, n in rows:
+        want[n] = max(value - last.get(name, 0), 0)
+        last[name] = value
+    got = rate_from_counter(df, series="name", rows=50)
+    assert got.columns == ["name", "ts", "value", "n", "rate"]
+    assert {r["n"]: r["rate"] for r in got.collect()} == want
+    fullest = df.repartitionByRange(20, "name", "ts").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert fullest <= 150
+    assert rate_from_counter(df.limit(0), series="name").collect() == []
