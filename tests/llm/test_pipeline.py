@@ -111,7 +111,7 @@ def test_queries_on_empty_and_odd_tables(spark, tmp_path, name):
         embeddings=[(None, None), (0, None), (50, [1.0, 2.0]), (51, [2.0, 4.0]), (51, [2.0, 4.0])])
     rows = REGISTRY[name](spark, sf)
     assert rows.columns == found.columns and rows.dtypes == found.dtypes
-    expected = {"op2": 1, "op3": 4, "op5": 8, "op10": 2}.get(name.split("_")[0], 6)
+    expected = {"op2": 2, "op3": 4, "op5": 8, "op10": 2}.get(name.split("_")[0], 6)
     assert rows.count() == expected
 
 
