@@ -12,9 +12,8 @@ from dataclasses import dataclass
 
 from lognorm.functions.sql import literal
 
-# Inside the one-pass extraction: between captures, and in place of a name the pattern does
-# not define. Rows that hold either character take the slow form.
-SEPARATOR, ABSENT = "\x01", "\x02"
+# Between captures in the one-pass extraction. Rows that hold the character take the slow form.
+SEPARATOR = "\x01"
 
 _PIECE = re.compile(
     r"(?P<escape>\\U[0-9a-fA-F]{8}|\\.)"
@@ -49,10 +48,19 @@ class SparkPattern:
     def joined(self, text: str, names: list[str]) -> str:
         """SQL: the captures in the order of ``names``, joined, with one regex pass.
 
-        The whole payload is replaced by its captures; a group that took no part is empty.
+        The whole payload is replaced by its captures; a group that took no part, and a name the
+        pattern does not define, is empty.
         """
-        marks = SEPARATOR.join(f"${i}" if i else ABSENT for i in self.ordinals(names))
-        return f"regexp_replace({text}, {literal(self.regex + _TAIL)}, {literal(marks)})"
+        return f"regexp_replace({text}, {literal(self.whole)}, {literal(self.marks(names))})"
+
+    @property
+    def whole(self) -> str:
+        """The regex up to the end of the text."""
+        return self.regex + _TAIL
+
+    def marks(self, names: list[str]) -> str:
+        """The replacement that joins the captures in the order of ``names``."""
+        return SEPARATOR.join(f"${i}" if i else "" for i in self.ordinals(names))
 
 
 _TAIL = r"[\s\S]*\z"

@@ -73,7 +73,7 @@ def normalize(
         _unmapped(defs, compiled, unmapped_mode) + " AS leaf_unmapped",
         f"coalesce({type_errors}, {no_errors}) AS type_errors",
     )
-    helper = [leaf.column for leaf in used] + ["leaf_unmapped"]
+    helper = [leaf.column for leaf in used] + ["leaf_unmapped", "pattern_no"]
     mapped = flat.withColumn("event", F.expr(_event(defs, {leaf.path for leaf in used}))).drop(*helper)
     return fence(mapped, ["event"]) if fenced else mapped
 

@@ -214,6 +214,12 @@ SQL: dict[str, str] = {
         event_type || '","props":' || to_json(props)::VARCHAR || '}' AS payload FROM events""",
     "replicate": "SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events",
     "route_first_match": ALL + " SELECT event_id, ingest_us, parser, pattern_id FROM routed",
+    "route_many": ALL + r""", numbered_many AS (SELECT *, try_cast(nullif(regexp_extract(payload, '^.*\buser([0-9]+)\b', 1), '') AS INT) AS u,
+          try_cast(nullif(regexp_extract(payload, '^.*\border ([0-9]+)\b', 1), '') AS INT) AS o FROM routed)
+        SELECT event_id, ingest_us, CASE WHEN u < 1000 THEN 'user_' || u WHEN o < 995 THEN 'order_' || o ELSE parser END AS parser,
+          CASE WHEN u < 1000 THEN u WHEN o < 995 THEN 1000 + o ELSE 1995 + pattern_id END AS pattern_id,
+          CASE WHEN u < 1000 THEN regexp_extract(payload, '^.*\buser[0-9]+\b(.*)', 1)
+            WHEN o < 995 THEN regexp_extract(payload, '^.*\border [0-9]+\b(.*)', 1) END AS rest FROM numbered_many""",
     **{
         f"extract_{short}": ALL + f" SELECT event_id, ingest_us, pattern_id, "
         f"{', '.join(next(d for d in DEFS if d.name == name).group_names)} FROM {_groups(name)}"

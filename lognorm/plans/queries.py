@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,7 @@ from lognorm.plans.batch import normalize_records, process
 from lognorm.schema import CLASS_FIELDS
 from lognorm.session import scratch_folder
 from lognorm.sources.dlq import read_dlq
-from lognorm.sources.parsers import parse_definition
+from lognorm.sources.parsers import ParserDef, parse_definition
 from lognorm.sources.raw import read_log_lines
 from lognorm.sources.raw import replicate as copies
 from lognorm.sources.raw import to_payload as as_payload
@@ -129,6 +130,27 @@ def route_first_match(spark: SparkSession, sf: str) -> DataFrame:
     return route(raw_logs(spark, sf), DEFS).select("event_id", micros(), "parser", "pattern_id")
 
 
+def _many() -> list[ParserDef]:
+    """2,000 definitions: a thousand users and 995 orders ahead of the shipped ones."""
+    def one(name: str, pattern: str) -> ParserDef:
+        return replace(LINUX_SSHD, name=name, match_patterns=(pattern,), field_mappings=(), static_values={}, file=f"{name}.json")
+
+    users = [one(f"user_{n}", rf"(?P<head>.*)\buser{n}\b(?P<rest>.*)") for n in range(1000)]
+    orders = [one(f"order_{n}", rf"(?P<head>.*)\border {n}\b(?P<rest>.*)") for n in range(995)]
+    return [*users, *orders, *DEFS]
+
+
+MANY = _many()
+
+
+@query
+def route_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Routing and one capture with 2,000 definitions."""
+    return extract_groups(raw_logs(spark, sf), MANY).select(
+        "event_id", micros(), "parser", "pattern_id",
+        F.when(F.col("parser_id") < 1995, F.col("groups")["rest"]).alias("rest"))
+
+
 def extract(spark: SparkSession, sf: str, parser: str) -> DataFrame:
     definition = next(d for d in DEFS if d.name == parser)
     groups = of_parser(extract_groups(raw_logs(spark, sf), DEFS), parser)
