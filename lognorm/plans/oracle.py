@@ -424,6 +424,9 @@ SQL: dict[str, str] = {
     "stream_normalize": ALL + """ SELECT (CASE ocsf_class WHEN 'authentication' THEN 3002 WHEN 'network_activity' THEN 4001
         WHEN 'base_event' THEN 0 ELSE -1 END)::BIGINT AS class_uid, CASE WHEN parser IS NULL THEN 'unmatched' ELSE '' END AS reason,
         count(*) AS records, count(DISTINCT sha256(payload)) AS payloads FROM routed GROUP BY ALL""",
+    "stream_promote": RAW + ", records AS (SELECT * FROM raw_logs)" + _routes([d for d in DEFS if d.name == "linux_sshd"]) + r"""
+        SELECT event_id % 2 AS batch, coalesce(parser, CASE WHEN event_id % 2 = 1 AND regexp_matches(payload, '^\d+,') THEN 'shop_csv' ELSE '' END) AS parser,
+          count(*) AS records, count(DISTINCT sha256(payload)) AS payloads FROM routed GROUP BY ALL""",
     "stream_dedup": DEDUPED + " SELECT sha256(payload) AS raw_sha256, ingest_us FROM records",
 }
 SQL["coerce_types"] = r"""WITH t AS (SELECT event_id, CASE event_id % 8 WHEN 0 THEN k WHEN 1 THEN ' ' || k || ' ' WHEN 2 THEN k || '.5'
@@ -437,3 +440,4 @@ _vowels = "text"
 for _v in "aeiou":
     _vowels = f"regexp_replace({_vowels}, '{_v}+', '<{_v}>', 'g')"
 SQL["expr_text"] = SQL["expr_text"].replace("VOWELS", _vowels)
+SQL["stream_metrics"] = SQL["metrics_table"]

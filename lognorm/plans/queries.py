@@ -28,13 +28,15 @@ from lognorm.plans.batch import normalize_records, process
 from lognorm.schema import CLASS_FIELDS
 from lognorm.session import scratch_folder
 from lognorm.sources.dlq import read_dlq
-from lognorm.sources.parsers import ParserDef, parse_definition
+from lognorm.sources.parsers import ParserDef, definition_document, parse_definition
 from lognorm.sources.raw import read_log_lines
 from lognorm.sources.raw import replicate as copies
 from lognorm.sources.raw import to_payload as as_payload
 from lognorm.sources.synth import raw_logs, read_table
 from lognorm.streaming import stream
 from lognorm.streaming.event_time import EventTimeDedup
+from lognorm.streaming.live_metrics import LiveMetrics
+from lognorm.streaming.registry import Registry, put_definition
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -753,6 +755,52 @@ def stream_normalize(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("records"), F.countDistinct("raw_sha256").alias("payloads"))
 
 
+@query
+def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters that a stream with dedup kept while it ran."""
+    out = scratch_folder(spark, "stream")
+    live = LiveMetrics(spark)
+    try:
+        stream.run_stream(
+            stream.stream_logs(spark, landed_in_order(spark, raw_logs(spark, sf), span=3 * _LANDING), max_files=1, format="parquet"), DEFS,
+            stream.parquet_sink(f"{out}/events"), stream.parquet_sink(f"{out}/dlq"), f"{out}/checkpoint",
+            trigger={"availableNow": True}, enum_mode="instance", live=live).awaitTermination()
+        live.wait()
+    finally:
+        live.close()
+    return live.table()
+
+
+#: What is promoted while ``stream_promote`` runs.
+SHOP_CSV = {
+    "name": "shop_csv", "version": "1.0.0", "author": "human", "created_at": "2026-09-06T00:00:00Z", "vendor": "shop",
+    "log_format": "csv", "ocsf_class": "base_event", "ocsf_category_uid": 0, "ocsf_class_uid": 0,
+    "match_patterns": [r"(?P<order_id>\d+),(?P<message>[^\n]*)"], "field_mappings": [{"ocsf_field": "message"}],
+}
+
+
+@query
+def stream_promote(spark: SparkSession, sf: str) -> DataFrame:
+    """A definition put into the registry after the first of two micro-batches holds from the second on."""
+    out = scratch_folder(spark, "stream")
+    logs = raw_logs(spark, sf)
+    for part in (0, 1):
+        logs.where(F.col("event_id") % 2 == part).select("raw", "ingest_ts", "source").coalesce(1).write.mode("append").parquet(f"{out}/landed")
+    put_definition(spark, f"{out}/registry", "sshd.json", json.dumps(definition_document(LINUX_SSHD)))
+
+    def dead(df: DataFrame, batch_id: int) -> None:
+        stream.parquet_sink(f"{out}/dlq")(df, batch_id)
+        put_definition(spark, f"{out}/registry", "shop.json", json.dumps(SHOP_CSV))
+
+    stream.run_stream(
+        stream.stream_logs(spark, f"{out}/landed", max_files=1, format="parquet"), Registry(spark, f"{out}/registry", f"{out}/versions"),
+        stream.parquet_sink(f"{out}/events"), dead, f"{out}/checkpoint", trigger={"availableNow": True}, dedup_seconds=None).awaitTermination()
+    events = spark.read.parquet(f"{out}/events").select(F.col("metadata.product.name").alias("parser"), F.col("batch_id").cast("long").alias("batch"),
+                                                        F.col("raw_data_hash.value").alias("raw_sha256"))
+    rest = spark.read.parquet(f"{out}/dlq").select(F.lit("").alias("parser"), F.col("batch_id").cast("long").alias("batch"), "raw_sha256")
+    return events.unionByName(rest).groupBy("batch", "parser").agg(F.count("*").alias("records"), F.countDistinct("raw_sha256").alias("payloads"))
+
+
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_folder(spark, "stream")
@@ -770,10 +818,14 @@ _LANDING = 5 * 86_400_000_000
 
 def landed_late(spark: SparkSession, sf: str, arrival: str) -> str:
     """The raw logs, a third of them one payload, in files by arrival time (SQL over ``event_id, us``), the first first."""
-    path = scratch_folder(spark, "landed")
     hot = F.when(F.col("event_id") % 3 == 0, F.lit("-- MARK --")).otherwise(F.decode("raw", "UTF-8"))
-    logs = raw_logs(spark, sf).withColumns({"raw": F.encode(hot, "UTF-8"), "us": F.unix_micros("ingest_ts")})
-    filed = logs.withColumn("file", F.expr(f"({arrival}) div {_LANDING}"))
+    return landed_in_order(spark, raw_logs(spark, sf).withColumn("raw", F.encode(hot, "UTF-8")), arrival)
+
+
+def landed_in_order(spark: SparkSession, logs: DataFrame, arrival: str = "us", span: int = _LANDING) -> str:
+    """Logs in files by arrival time (SQL over ``event_id, us``), the first written first."""
+    path = scratch_folder(spark, "landed")
+    filed = logs.withColumn("us", F.unix_micros("ingest_ts")).withColumn("file", F.expr(f"({arrival}) div {span}"))
     first, last = filed.agg(F.min("file"), F.max("file")).head()
     for n in range(first, last + 1):
         filed.where(F.col("file") == n).select("raw", "ingest_ts", "source").coalesce(1).write.mode("append").parquet(path)

@@ -168,6 +168,13 @@ def parse_definition(doc: Any, file: str = "") -> ParserDef:
     )
 
 
+def definition_document(d: ParserDef) -> dict[str, Any]:
+    """The document ``parse_definition`` reads as this definition, for JSON or YAML."""
+    doc = {name: getattr(d, name) for name in (*REQUIRED, "match_priority", "static_values", "description") if getattr(d, name) is not None}
+    mappings = [{k: v for k, v in vars(m).items() if v is not None} for m in d.field_mappings]
+    return doc | {"match_patterns": list(d.match_patterns), "field_mappings": mappings}
+
+
 def read_document(text: str, yaml_syntax: bool = False) -> Any:
     if not yaml_syntax:
         return json.loads(text)
@@ -208,6 +215,14 @@ def load_parsers(path: str) -> list[ParserDef]:
     return in_routing_order(valid)
 
 
+def usable(text: str, file: str) -> ParserDef | None:
+    """The definition a file holds, or None where it holds no valid one."""
+    try:
+        return parse_definition(read_document(text, file.endswith(".yaml")), file)
+    except Exception:  # malformed text or a broken rule: such files are skipped
+        return None
+
+
 def in_routing_order(defs: list[ParserDef]) -> list[ParserDef]:
     """Lowest priority number first, ties by file name."""
     return sorted(defs, key=lambda d: (d.match_priority, d.file))

@@ -18,6 +18,8 @@ from lognorm.plans.batch import guarded_records, with_dropped
 from lognorm.schema import RAW_LOGS
 from lognorm.sources.parsers import ParserDef
 from lognorm.streaming.event_time import EventTimeDedup
+from lognorm.streaming.live_metrics import LiveMetrics
+from lognorm.streaming.registry import Registry
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -101,7 +103,7 @@ def dedup_stream(
 
 def run_stream(
     source: DataFrame,
-    defs: list[ParserDef],
+    defs: list[ParserDef] | Registry,
     events_sink: Sink,
     dlq_sink: Sink,
     checkpoint: str,
@@ -110,6 +112,7 @@ def run_stream(
     enum_mode: str = "code",
     max_bytes: int = MAX_BYTES,
     event_time: EventTimeDedup | None = None,
+    live: LiveMetrics | None = None,
 ) -> StreamingQuery:
     """Start normalising a stream into two sinks. Stop it with ``query.stop()``.
 
@@ -118,22 +121,36 @@ def run_stream(
 
     Duplicates are removed in order of arrival; with ``event_time`` in the order of their times,
     whatever order they arrive in, once the time is closed (``dedup_seconds`` is not used then).
-    Late records become dead letters with reason ``late``.
+    Late records become dead letters with reason ``late``. ``live`` counts while the stream runs.
+    With a ``Registry`` for ``defs`` each micro-batch uses the definitions of its start.
     """
+    if live is not None:
+        source = live.observe_source(source)
     records = source if dedup_seconds is None or event_time is not None else dedup_stream(source, dedup_seconds)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         late = None
         if event_time is not None:
             batch, late = event_time(batch, batch_id)
-        done = guarded_records(batch, defs, enum_mode, max_bytes=max_bytes)
-        done = (done if late is None else with_dropped(done, late, LATE)).persist()
+        else:
+            batch = batch.persist()  # guard and dead letters both read it; source and state run once
+        current = defs.at(batch_id) if isinstance(defs, Registry) else defs
+        done = guarded_records(batch, current, enum_mode, max_bytes=max_bytes)
+        done = done if late is None else with_dropped(done, late, LATE)
+        seen = None
+        if live is not None:
+            done, seen = live.observe_records(done, current)
+        done = done.persist()
         try:
+            if seen is not None:
+                done.count()  # whole, whatever the sinks read of it
+                live.batch_done(batch_id, seen)
             events, _ = split_outputs(done)
             events_sink(events, batch_id)
             dlq_sink(dlq_records(done), batch_id)
         finally:
             done.unpersist()
+            batch.unpersist()
 
     writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
