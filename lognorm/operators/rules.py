@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +16,7 @@ from lognorm.functions.coerce import FIELD_TYPES
 from lognorm.functions.expressions import UnsafeExpression, rewrite
 from lognorm.functions.patterns import regex_error, to_spark
 from lognorm.schema import CLASS_FIELDS, KNOWN_CLASS_UIDS, OBJECTS, OCSF_CLASSES, members
-from lognorm.sources.parsers import AUTHOR, REQUIRED, SEMVER, ParserDef
+from lognorm.sources.parsers import AUTHOR, DEFAULT_PRIORITY, REQUIRED, SEMVER, ParserDef
 
 PARSER_DEFS = T.StructType([
     T.StructField("file", T.StringType()),
@@ -47,8 +48,17 @@ def parser_table(spark: SparkSession, defs: list[ParserDef]) -> DataFrame:
     return routing_order(spark.createDataFrame(rows, PARSER_DEFS))
 
 
+def _rank() -> list[Column]:
+    return [F.coalesce("match_priority", F.lit(DEFAULT_PRIORITY)), F.col("file")]
+
+
 def routing_order(parser_df: DataFrame) -> DataFrame:
-    return parser_df.orderBy(F.coalesce("match_priority", F.lit(100)), "file")
+    return parser_df.orderBy(*_rank())
+
+
+def routing_places(parser_df: DataFrame, registry: str) -> DataFrame:
+    """Adds ``place``, from 1: the routing position within the registry a definition belongs to."""
+    return parser_df.withColumn("place", F.row_number().over(W.partitionBy(registry).orderBy(*_rank())).cast("long"))
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))

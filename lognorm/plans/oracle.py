@@ -214,6 +214,14 @@ SQL: dict[str, str] = {
         event_type || '","props":' || to_json(props)::VARCHAR || '}' AS payload FROM events""",
     "replicate": "SELECT event_id, event_type FROM events UNION ALL SELECT event_id, event_type FROM events",
     "route_first_match": ALL + " SELECT event_id, ingest_us, parser, pattern_id FROM routed",
+    "log_blobs": """SELECT source, lang, sha256(b) AS sha256, octet_length(encode(b))::BIGINT AS raw_size FROM (
+        SELECT source, lang, string_agg(text || chr(10), '' ORDER BY doc_id) AS b FROM documents WHERE text IS NOT NULL GROUP BY ALL)""",
+    "decode_invalid": """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type || props
+          ELSE chr(65533) || event_type || chr(65533) || '(' || props || repeat(chr(65533), 3) END AS payload,
+        sha256(CASE WHEN event_id % 3 = 0 THEN encode(event_type || props)
+          ELSE '\\xFF'::BLOB || encode(event_type) || '\\xC3('::BLOB || encode(props) || '\\xC0\\x80\\xC3'::BLOB END) AS raw_sha256 FROM events""",
+    "events_jsonl": ALL + """ SELECT CASE ocsf_class WHEN 'authentication' THEN 3002 WHEN 'network_activity' THEN 4001 ELSE 0 END::BIGINT AS class_uid,
+        sha256(payload) AS raw_sha256, payload AS raw_data, parser FROM routed WHERE parser IS NOT NULL""",
     "route_many": ALL + r""", numbered_many AS (SELECT *, try_cast(nullif(regexp_extract(payload, '^.*\buser([0-9]+)\b', 1), '') AS INT) AS u,
           try_cast(nullif(regexp_extract(payload, '^.*\border ([0-9]+)\b', 1), '') AS INT) AS o FROM routed)
         SELECT event_id, ingest_us, CASE WHEN u < 1000 THEN 'user_' || u WHEN o < 995 THEN 'order_' || o ELSE parser END AS parser,
@@ -375,7 +383,7 @@ SQL: dict[str, str] = {
         ',"Message":"' || CASE WHEN event_id % 7 > 0 THEN event_type ELSE '' END ||
         '","Source":"Shop","Level":""}' AS payload FROM events""",
     "parser_order": _DEFINITIONS + """ SELECT vendor, file,
-        row_number() OVER (PARTITION BY vendor ORDER BY match_priority, file) AS place FROM d""",
+        row_number() OVER (PARTITION BY vendor ORDER BY CASE WHEN match_priority % 2 = 0 THEN match_priority ELSE 100 END, file) AS place FROM d""",
     "rule_violations": _DEFINITIONS + " SELECT file, rule, detail FROM broken",
     "valid_definitions": _DEFINITIONS + " SELECT file FROM d ANTI JOIN broken USING (file)",
     "lint_paths": _DEFINITIONS + f""", mapped AS (

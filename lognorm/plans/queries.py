@@ -29,7 +29,7 @@ from lognorm.schema import CLASS_FIELDS
 from lognorm.session import scratch_folder
 from lognorm.sources.dlq import read_dlq
 from lognorm.sources.parsers import ParserDef, definition_document, parse_definition
-from lognorm.sources.raw import read_log_lines
+from lognorm.sources.raw import read_log_blob, read_log_lines
 from lognorm.sources.raw import replicate as copies
 from lognorm.sources.raw import to_payload as as_payload
 from lognorm.sources.synth import raw_logs, read_table
@@ -124,6 +124,40 @@ def replicate(spark: SparkSession, sf: str) -> DataFrame:
     return copies(read_table(spark, sf, "events").select("event_id", "event_type"), 2)
 
 
+@query
+def log_blobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole files as one record each: the documents of a source and language."""
+    path = scratch_folder(spark, "blobs")
+    docs = read_table(spark, sf, "documents").where("text IS NOT NULL").select("source", "lang", "doc_id", "text")
+    docs.repartition("source", "lang").sortWithinPartitions("source", "lang", "doc_id").drop("doc_id").write.partitionBy("source", "lang").text(path)
+    blobs = read_log_blob(spark, f"{path}/*/*")
+    part = lambda name: F.regexp_extract(F.col("source"), f"/{name}=([^/]*)/", 1).alias(name)
+    return blobs.select(part("source"), part("lang"), fingerprint(F.col("raw"))["value"].alias("sha256"), F.octet_length("raw").cast("long").alias("raw_size"))
+
+
+@query
+def decode_invalid(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads with bytes that are no UTF-8: at the start, between characters, cut off at the end."""
+    def put(value: bytes) -> Column:
+        return F.when(F.col("event_id") % 3 > 0, F.lit(value)).otherwise(F.lit(b""))
+
+    raw = F.concat(put(b"\xff"), F.encode("event_type", "UTF-8"), put(b"\xc3("), F.encode("props", "UTF-8"), put(b"\xc0\x80"), put(b"\xc3"))
+    events = read_table(spark, sf, "events").select("event_id", raw.alias("raw"))
+    return with_payload(events).select("event_id", "payload", "raw_sha256")
+
+
+@query
+def events_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON lines on disk, read back by their lines."""
+    path = scratch_folder(spark, "jsonl")
+    events, _ = outputs.split_outputs(normalized(spark, sf))
+    outputs.write_events(events, "jsonl", path)
+    line = lambda name: F.get_json_object("value", f"$.{name}")
+    return spark.read.text(path).select(
+        line("class_uid").cast("long").alias("class_uid"), line("raw_data_hash.value").alias("raw_sha256"),
+        line("raw_data").alias("raw_data"), line("metadata.product.name").alias("parser"))
+
+
 # ------------------------------------------------------------------ routing and extraction
 
 
@@ -589,8 +623,9 @@ def definitions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def parser_order(spark: SparkSession, sf: str) -> DataFrame:
     """Routing position of each definition within its vendor's registry."""
-    place = F.row_number().over(W.partitionBy("vendor").orderBy("match_priority", "file"))
-    return definitions(spark, sf).select("vendor", "file", place.cast("long").alias("place"))
+    # Every second definition leaves its priority to the default.
+    some = F.when(F.col("match_priority") % 2 == 0, F.col("match_priority"))
+    return rules.routing_places(definitions(spark, sf).withColumn("match_priority", some), "vendor").select("vendor", "file", "place")
 
 
 @query
