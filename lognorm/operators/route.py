@@ -11,7 +11,7 @@ a pattern must contain) and tries, in routing order, the patterns of those liter
 that have none. So a line costs about the same whatever the number of definitions. Both forms
 give the same rows.
 
-Only the winning pattern then extracts, all captures in one pass. No shuffle anywhere.
+Only the winning pattern extracts, all captures in one pass. No shuffle anywhere.
 """
 
 from __future__ import annotations
@@ -41,23 +41,35 @@ def _patterns(defs: list[ParserDef]) -> list[tuple[int, ParserDef, SparkPattern]
 
 def route(df: DataFrame, defs: list[ParserDef], case_patterns: int = CASE_PATTERNS) -> DataFrame:
     """Adds ``parser_id, parser, pattern_id``; null when nothing matches."""
-    ready = df if "payload" in df.columns else with_payload(df)
-    patterns = _patterns(defs)
-    parser_ids = array([str(i) for i, _, _ in patterns]) if patterns else "array(0)"
-    names = array([literal(d.name) for d in defs]) if defs else "array('')"
+    ready, patterns = _ready(df), _patterns(defs)
     if len(patterns) > case_patterns:
-        hit = ready.withColumn("pattern_id", _indexed([p for d in defs for p in d.match_patterns])(F.col("payload")))
+        hit = ready.withColumn("pattern_id", _first_match(defs, captures=False)(F.col("payload")))
     else:
         winner = case([(p.matches("payload"), str(i)) for i, (_, _, p) in enumerate(patterns)])
         hit = ready.select("*", F.expr(f"inline(array(named_struct('pattern_id', CAST({winner} AS INT))))"))
+    return _with_parser(hit, defs)
+
+
+def _ready(df: DataFrame) -> DataFrame:
+    return df if "payload" in df.columns else with_payload(df)
+
+
+def _with_parser(hit: DataFrame, defs: list[ParserDef]) -> DataFrame:
+    parser_ids = array([str(i) for i, d in enumerate(defs) for _ in d.match_patterns] or ["0"])
+    names = array([literal(d.name) for d in defs] or ["''"])
     return (
         hit.withColumn("parser_id", F.expr(f"get({parser_ids}, pattern_id)"))
         .withColumn("parser", F.expr(f"get({names}, parser_id)"))
     )
 
 
-def _indexed(patterns: list[str]):
-    """A function of payloads: the first pattern that matches from the first character, or null."""
+def _first_match(defs: list[ParserDef], captures: bool):
+    """A function of payloads: the first pattern that matches from the first character, or null.
+
+    With ``captures`` a struct of that and the groups, which the same match has found.
+    """
+    patterns = [p for d in defs for p in d.match_patterns]
+    names = [d.group_names for d in defs for _ in d.match_patterns] if captures else []
     literals: dict[str, list[int]] = {}
     always: list[int] = []
     for i, p in enumerate(patterns):
@@ -67,8 +79,7 @@ def _indexed(patterns: list[str]):
         for word in needed or ():
             literals.setdefault(word, []).append(i)
 
-    @F.pandas_udf(T.IntegerType())
-    def first_match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def winners(batches: Iterator[pd.Series]) -> Iterator[list[tuple[int, re.Match] | None]]:
         import ahocorasick  # only tasks over many definitions need it
 
         words = ahocorasick.Automaton()
@@ -77,7 +88,7 @@ def _indexed(patterns: list[str]):
         words.make_automaton()
         compiled: dict[int, re.Pattern] = {}
 
-        def winner(text: str | None) -> int | None:
+        def winner(text: str | None) -> tuple[int, re.Match] | None:
             if text is None:
                 return None
             candidates = set(always)
@@ -87,32 +98,54 @@ def _indexed(patterns: list[str]):
             for i in sorted(candidates):
                 if i not in compiled:
                     compiled[i] = re.compile(patterns[i])
-                if compiled[i].match(text):
-                    return i
+                match = compiled[i].match(text)
+                if match:
+                    return i, match
             return None
 
         for payloads in batches:
-            yield pd.Series([winner(p) for p in payloads], dtype="Int32")
+            yield [winner(p) for p in payloads]
+
+    def ids(found: list[tuple[int, re.Match] | None]) -> pd.Series:
+        return pd.Series([None if f is None else f[0] for f in found], dtype="Int32")
+
+    def groups(i: int, match: re.Match) -> list[str]:
+        own = match.groupdict("")
+        return [own.get(n, "") for n in names[i]]
 
-    return first_match
+    if not captures:
+        @F.pandas_udf(T.IntegerType())
+        def pattern_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            yield from map(ids, winners(batches))
+
+        return pattern_ids
+
+    @F.pandas_udf("pattern_id int, captures array<string>")
+    def matches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for found in winners(batches):
+            taken = pd.Series([None if f is None else groups(*f) for f in found], dtype="object")
+            yield pd.DataFrame({"pattern_id": ids(found), "captures": taken})
+
+    return matches
 
 
 def extract_captures(df: DataFrame, defs: list[ParserDef], case_patterns: int = CASE_PATTERNS) -> DataFrame:
     """``route`` plus ``captures``: the winner's captures in the order of its ``group_names``.
 
-    ``pattern_no`` is the place of the winning pattern within its definition. A name the winning pattern does not define has an empty text there; ``capture`` and
-    ``extract_groups`` tell it apart by the pattern, not by the text.
+    ``pattern_no`` is the place of the winning pattern within its definition. A name the winning
+    pattern does not define has an empty text there; ``capture`` and ``extract_groups`` tell it
+    apart by the pattern, not by the text.
     """
-    routed = route(df, defs, case_patterns)
     patterns = _patterns(defs)
     if not patterns:
-        return routed.withColumns({"pattern_no": F.lit(None).cast("int"), "captures": F.lit(None).cast("array<string>")})
+        return route(df, defs).withColumns({"pattern_no": F.lit(None).cast("int"), "captures": F.lit(None).cast("array<string>")})
+    places = array([str(i) for d in defs for i in range(len(d.match_patterns))])
     if len(patterns) > case_patterns:
-        wholes = array([literal(p.whole) for _, _, p in patterns])
-        marks = array([literal(p.marks(d.group_names)) for _, d, p in patterns])
-        joined = f"regexp_replace(payload, get({wholes}, pattern_id), get({marks}, pattern_id))"
-    else:
-        joined = case([(f"pattern_id = {i}", p.joined("payload", d.group_names)) for i, (_, d, p) in enumerate(patterns)])
+        ready = _ready(df).withColumn("_match", _first_match(defs, captures=True)(F.col("payload")))
+        named = _with_parser(ready.select(*[c for c in ready.columns if c != "_match"], "_match.pattern_id", "_match.captures"), defs)
+        return named.withColumn("pattern_no", F.expr(f"get({places}, pattern_id)"))
+    routed = route(df, defs, case_patterns)
+    joined = case([(f"pattern_id = {i}", p.joined("payload", d.group_names)) for i, (_, d, p) in enumerate(patterns)])
     regexes = array([literal(p.regex) for _, _, p in patterns])
     ordinals = array([f"CAST({array([str(o) for o in p.ordinals(d.group_names)])} AS ARRAY<INT>)" for _, d, p in patterns])
     one_by_one = (
@@ -123,7 +156,6 @@ def extract_captures(df: DataFrame, defs: list[ParserDef], case_patterns: int =
     no_names = [str(i) for i, (_, d, _) in enumerate(patterns) if not d.group_names]
     if no_names:  # nothing to join is one empty text, not none
         captures = case([(f"pattern_id IN ({', '.join(no_names)})", "CAST(array() AS ARRAY<STRING>)")], captures)
-    places = array([str(i) for d in defs for i in range(len(d.match_patterns))])
     return routed.withColumns({"pattern_no": F.expr(f"get({places}, pattern_id)"), "captures": F.expr(captures)})
 
 
