@@ -7,6 +7,7 @@ per pattern on the driver; the names stay behind as a list in group order.
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
 
@@ -75,6 +76,7 @@ def regex_error(pattern: str) -> str | None:
     return None
 
 
+@functools.lru_cache(maxsize=16_384)
 def to_spark(pattern: str) -> SparkPattern:
     compiled = re.compile(pattern)
     by_ordinal = {i: n for n, i in compiled.groupindex.items()}
