@@ -71,3 +71,20 @@ def test_approximate_dedup_and_bad_mode(spark, tmp_path):
     assert spark.table("approx").count() == 2
     with pytest.raises(ValueError):
         stream.dedup_stream(source, mode="other")
+
+
+def test_exact_dedup_keeps_state_by_group_and_sorts_a_whole_micro_batch(spark, tmp_path):
+    """5,000 hashes come once, one 100 times in reverse, in Arrow batches of 10 records."""
+    land(spark, str(tmp_path / "in"), [[(f"p{n}", n % 50) for n in range(5000)] + [("same", 10 * n) for n in reversed(range(100))] + [(" ", 4)]])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10)
+    try:
+        q = (stream.dedup_stream(stream.stream_logs(spark, str(tmp_path / "in"), format="parquet")).writeStream.format("parquet")
+             .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = spark.read.parquet(str(tmp_path / "out"))
+    same = out.where("raw = X'73616D65'").collect()
+    assert sorted(int((r["ingest_ts"].replace(tzinfo=timezone.utc) - T0).total_seconds()) for r in same) == [0, 310, 620, 930]
+    assert out.count() == 5005
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress) <= 16 ** stream.GROUP_DIGITS < 5000
