@@ -2,8 +2,10 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 from golden import MIXED
+from pyspark.sql import functions as F
 
 from lognorm.builtin_rules import builtin_parsers
+from lognorm.plans import queries
 from lognorm.plans.batch import normalize_records
 from lognorm.streaming import stream
 
@@ -87,4 +89,26 @@ def test_exact_dedup_keeps_state_by_group_and_sorts_a_whole_micro_batch(spark, t
     same = out.where("raw = X'73616D65'").collect()
     assert sorted(int((r["ingest_ts"].replace(tzinfo=timezone.utc) - T0).total_seconds()) for r in same) == [0, 310, 620, 930]
     assert out.count() == 5005
-    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress) <= 16 ** stream.GROUP_DIGITS < 5000
+    assert max(p.stateOperators[0].numRowsTotal for p in q.recentProgress) <= stream.GROUPS < 5000
+
+
+def test_parts_land_as_equal_numbers_of_files(spark, records, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "_FILE_ROWS", 10)
+    path, lines = str(tmp_path / "in"), [[f"line {n}" for n in range(size)] for size in (100, 3, 0, 40)]
+    parts = [records(part or [""]).limit(len(part)).select("raw", "ingest_ts", "source") for part in lines]
+    files = queries.landed_parts(spark, path, parts, 100)
+    assert files == 10
+    seen = []
+    q = (stream.stream_logs(spark, path, max_files=files, format="parquet").writeStream
+         .foreachBatch(lambda df, batch_id: seen.append(sorted(bytes(r.raw).decode() for r in df.collect())))
+         .option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert seen == [sorted(part) for part in lines]
+
+
+def test_a_micro_batch_of_one_partition_is_spread(spark, records, monkeypatch):
+    batch = records([f"line {n}" for n in range(1000)]).coalesce(1)
+    assert stream.spread(batch) is batch
+    monkeypatch.setattr(stream, "TASK_BYTES", 100_000)
+    parts = stream.spread(batch).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 11 and sum(p["count"] for p in parts) == 1000
