@@ -1,4 +1,4 @@
-"""Near copies by exact similarity: Jaccard of the sets of word shingles at a threshold or more.
+"""Near copies by SimHash, completed by exact similarity: Jaccard of the sets of word shingles at a threshold or more.
 
 Every pair is found. A global order sorts the sets. Of two sets of Jaccard 0.8 or more the larger
 holds the first shingle they share among its first n - ceil(0.8 n) + 1, the smaller even among its
@@ -10,9 +10,12 @@ the two prefixes, and what is left of the set whose prefix ends first, bound the
 whose bound is too low need no check. A check reads the texts of the documents concerned again,
 and counts the shingles two sets share.
 
-Documents are first grouped by a hash of their set, so copies cost one row. For every shingle and
-class of sizes the smallest member is the hub of the others; documents are checked against the hubs
-of their shingles, and once more against members of the shingles' commonest components. Then only
+Documents are first grouped by a hash of their set, so copies cost one row. SimHash comes first:
+fingerprints of the sets that covering masks find within ``simhash.RADIUS`` bits are checked, and
+those that are near copies are joined. It misses near copies whose fingerprints differ in more bits;
+the exact completion finds them all, and compares only what SimHash has not joined. For every shingle
+and class of sizes the smallest member is the hub of the others; documents are checked against the
+hubs of their shingles, and once more against members of the shingles' commonest components. Then only
 pairs whose components still differ are compared: of a shingle's documents, those outside its
 commonest component with all of it. A family of n copies thus costs about n checks a shingle.
 
@@ -32,11 +35,14 @@ from pyspark.sql import functions as F
 
 from lognorm.llm.common import column_of, map_slices, saved, text_or_empty, texts_of
 from lognorm.llm.components import components
-from lognorm.llm.simhash import SEED, one_of_each, shingle_hashes
+from lognorm.llm.simhash import SEED, fingerprint, one_of_each, shingle_hashes
+from lognorm.llm.simhash import links as simhash_links
 
 SHINGLE_WORDS = 5
 #: Jaccard as a fraction.
 UP, DOWN = 4, 5
+#: Text of one slice: a worker's memory is a multiple of it.
+SLICE = 1 << 20
 #: One document of so many is counted to find common shingles; seen so often there one is common.
 SAMPLE, COMMON = 32, 4
 #: Common shingles that go to every task; beyond that the threshold rises.
@@ -72,7 +78,7 @@ def ordered_prefix(shingles: np.ndarray, common: np.ndarray) -> tuple[np.ndarray
 
 
 def _prefixes(source: DataFrame, common: np.ndarray) -> DataFrame:
-    """(doc_id, key, n, rare, inner, tokens) of every row; ``source`` has doc_id and text."""
+    """(doc_id, key, n, rare, inner, tokens, fp) of every row; ``source`` has doc_id and text, fp is the set's SimHash."""
 
     def make():
         def work(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -84,11 +90,12 @@ def _prefixes(source: DataFrame, common: np.ndarray) -> DataFrame:
             number = lambda values: pa.array(list(values), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [column_of(piece, "doc_id"), pa.array(keys), number(map(len, sets)), number(r for _, _, r in heads),
-                 number(i for _, i, _ in heads), tokens], ["doc_id", "key", "n", "rare", "inner", "tokens"])
+                 number(i for _, i, _ in heads), tokens, pa.array(np.array([fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64))],
+                ["doc_id", "key", "n", "rare", "inner", "tokens", "fp"])
 
         return work
 
-    return map_slices(source, make, "doc_id long, key long, n int, rare int, inner int, tokens array<long>")
+    return map_slices(source, make, "doc_id long, key long, n int, rare int, inner int, tokens array<long>, fp long", limit=SLICE)
 
 
 def common_shingles(source: DataFrame) -> np.ndarray:
@@ -104,7 +111,7 @@ def common_shingles(source: DataFrame) -> np.ndarray:
         return work
 
     sampled = source.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text")
-    counted = saved(map_slices(sampled, make, "key long, token long").distinct().groupBy("token").count().where(f"count >= {COMMON}"))
+    counted = saved(map_slices(sampled, make, "key long, token long", limit=SLICE).distinct().groupBy("token").count().where(f"count >= {COMMON}"))
     steps = counted.groupBy(F.floor(F.log2("count")).alias("step")).count().orderBy(F.desc("step")).collect()
     total, least = 0, None
     for row in steps:
@@ -150,7 +157,7 @@ def _sets_of(keys: DataFrame, prefixes: DataFrame, source: DataFrame) -> DataFra
         return work
 
     # documents with the same doc_id but other texts have other keys
-    return saved(map_slices(texts, make, "key long, shingles array<long>").join(wanted.select("key"), "key", "left_semi")).dropDuplicates(["key"])
+    return saved(map_slices(texts, make, "key long, shingles array<long>", limit=SLICE).join(wanted.select("key"), "key", "left_semi")).dropDuplicates(["key"])
 
 
 def _checked(pairs: DataFrame, prefixes: DataFrame, source: DataFrame) -> DataFrame:
@@ -164,6 +171,23 @@ def _checked(pairs: DataFrame, prefixes: DataFrame, source: DataFrame) -> DataFr
     return saved(shared.where(f"shared * {DOWN} >= (both - shared) * {UP}").select("a", "b"))
 
 
+def _by_simhash(prints: DataFrame) -> DataFrame:
+    """(a, b) keys whose SimHash fingerprints link by covering masks; of keys with one print each with the smallest."""
+    heads = saved(prints.groupBy("fp").agg(F.min("key").alias("key")))
+    same = prints.join(heads.withColumnRenamed("key", "b"), "fp").where("key <> b").select(F.col("key").alias("a"), "b")
+    of = lambda name: heads.select(F.col("fp").alias(f"_{name}"), F.col("key").alias(name))
+    linked = simhash_links(heads.select("fp")).toDF("_a", "_b").join(of("a"), "_a").join(of("b"), "_b").select("a", "b")
+    return same.unionAll(linked)
+
+
+def _apart(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """The (a, b) pairs that ``near`` does not join yet."""
+    roots = components(near)
+    of = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"_{name}"))
+    met = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return met.where("coalesce(_a, a) <> coalesce(_b, b)").select("a", "b")
+
+
 def _mixed(members: DataFrame, near: DataFrame) -> DataFrame:
     """``members`` of shingles that several components share, with ``root`` and the shingle's commonest, ``main``."""
     roots = components(near).withColumnRenamed("node", "key")
@@ -187,7 +211,8 @@ def links(prefixes: DataFrame, source: DataFrame) -> DataFrame:
     members = members.withColumn("step", F.floor(F.log("n") / F.log(F.lit(CLASS))))
     hubs = members.where("inside").groupBy("token", "step").agg(F.min(F.struct("n", "key")).alias("hub"))
     first = members.join(hubs, ["token", "step"]).where("struct(n, key) > hub").select(F.col("key").alias("a"), F.col("hub.key").alias("b"))
-    near = _checked(_possible(first, sets), prefixes, source)
+    alike = _checked(_by_simhash(saved(one.select("key", "fp"))), prefixes, source)
+    near = saved(alike.unionAll(_checked(_possible(_apart(first, alike), sets), prefixes, source)))
     mixed = _mixed(members, near)
     # Those left over meet another member of the commonest component for each of their shingles.
     hubs = mixed.where("inside AND root = main").groupBy("token", "step").agg(F.min(F.struct(F.xxhash64("key").alias("h"), "n", "key")).alias("hub"))

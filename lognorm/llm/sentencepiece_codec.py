@@ -37,6 +37,8 @@ MARK = "▁"
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2
 ONE = (1,)
+#: Text of one slice: a worker holds its words, ids and decoded texts at once.
+SLICE = 1 << 20
 #: Larger than any id or character number, to make one number of two.
 SPAN = 1 << 32
 #: Words and pairs of pieces remembered by a task; beyond that it starts anew.
@@ -279,7 +281,7 @@ def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model:
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, ids array<int>, n_tokens long" + ", round_trip boolean" * check + ", decoded string" * decode
     names = ["doc_id", "ids", "n_tokens"] + ["round_trip"] * check + ["decoded"] * decode
-    return map_slices(source, make, schema)
+    return map_slices(source, make, schema, limit=SLICE)
 
 
 def decoded(rows: DataFrame, doc_id: str = "doc_id", ids: str = "ids", model: str = MODEL) -> DataFrame:

@@ -103,3 +103,19 @@ def test_shared_passages_make_few_pairs(spark, documents, monkeypatch, own):
     rows = [(i, common + " " + " ".join(f"o{i}x{k}" for k in range(own))) for i in range(120)]
     got = {r.doc_id: r.component_id for r in nc.near_copies(documents(rows)).collect()}
     assert got == {i: i for i in range(120)} and sum(joined) <= 120
+
+
+def test_simhash_joins_what_it_finds_before_prefixes_are_compared(spark, documents, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(50_000)}" for _ in range(3000)]
+    rows = [(i, " ".join([*base[:100 * i], "changed", *base[100 * i + 1:]])) for i in range(1, 9)]
+    left = []
+    possible = nc._possible
+
+    def counted(pairs, sets):
+        left.append(pairs.count())
+        return possible(pairs, sets)
+
+    monkeypatch.setattr(nc, "_possible", counted)
+    got = {r.doc_id: r.component_id for r in nc.near_copies(documents(rows)).collect()}
+    assert got == {i: 1 for i in range(1, 9)} and left == [0, 0, 0]
