@@ -6,6 +6,8 @@ columns can break them; this form checks whole registries, such as all drafts pe
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 
 from lognorm.functions.coerce import FIELD_TYPES
 from lognorm.functions.expressions import UnsafeExpression, rewrite
-from lognorm.functions.patterns import regex_error, to_spark
+from lognorm.functions.patterns import judged
 from lognorm.schema import CLASS_FIELDS, KNOWN_CLASS_UIDS, OBJECTS, OCSF_CLASSES, members
 from lognorm.sources.parsers import AUTHOR, DEFAULT_PRIORITY, REQUIRED, SEMVER, ParserDef
 
@@ -64,7 +66,17 @@ def routing_places(parser_df: DataFrame, registry: str) -> DataFrame:
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _regex_errors(patterns: pd.Series) -> pd.Series:
     """Per pattern why it does not compile, null when it does."""
-    return patterns.map(lambda ps: None if ps is None else [None if p is None else regex_error(p) for p in ps])
+    return patterns.map(lambda ps: None if ps is None else [None if p is None else judged(p)[0] for p in ps])
+
+
+@lru_cache(maxsize=16_384)
+def _unsafe(expression: str, names: frozenset[str]) -> str | None:
+    """Why an expression over these group names is refused, None when it is not."""
+    try:
+        rewrite(expression, names, str)
+    except UnsafeExpression as exc:
+        return str(exc)
+    return None
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -72,15 +84,9 @@ def _expression_errors(patterns: pd.Series, expressions: pd.Series) -> pd.Series
     """What the static check of a document says about its mappings' expressions."""
 
     def errors(ps, es) -> list[str]:
-        names = frozenset(n for p in (ps if ps is not None else []) if p is not None and not regex_error(p) for n in to_spark(p).names if n)
-        out = []
-        for i, e in enumerate(es if es is not None else []):
-            try:
-                if e:
-                    rewrite(e, names, str)
-            except UnsafeExpression as exc:
-                out.append(f"field_mappings[{i}]: {exc}")
-        return out
+        names = frozenset().union(*[judged(p)[1] for p in (ps if ps is not None else []) if p is not None])
+        found = ((i, _unsafe(e, names)) for i, e in enumerate(es if es is not None else []) if e)
+        return [f"field_mappings[{i}]: {error}" for i, error in found if error is not None]
 
     return pd.Series([errors(p, e) for p, e in zip(patterns, expressions, strict=True)])
 

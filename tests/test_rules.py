@@ -216,3 +216,19 @@ def test_registry_finds_unsafe_expressions(spark):
     bad = table.withColumn("field_mappings", unsafe)
     assert [r["rule"] for r in rule_violations(bad).collect()] == ["expression"]
     assert valid_definitions(bad).count() == 0 and valid_definitions(table).count() == 1
+
+
+def test_patterns_that_differ_in_digits_are_compiled_once(monkeypatch):
+    from lognorm.functions import patterns as ps
+
+    odd = [r"(?P<a1>1)(?P<a2>2)", r"(?P<a1>1)(?P<a1>2)", r"(a){1,3}", r"(a){3,1}", r"a\1", r"(a)\1", "[9-1]", "[1-9]", "(?1)", "1**", "12(", "(?<=1|22)x",
+           "(?:1(2))", "(?P<1a>x)", "(?#1)2", "é1", "", "(((1)", "x{2", "(?P<n>1)(?P=n)"]
+    for p in odd:
+        error = ps.regex_error(p)
+        assert ps.judged(p) == (error, frozenset() if error else frozenset(n for n in ps.to_spark(p).names if n)), p
+    ps._judged.cache_clear()
+    compiled = []
+    plain = ps.to_spark
+    monkeypatch.setattr(ps, "to_spark", lambda p: compiled.append(p) or plain(p))
+    assert {ps.judged(f"(?P<text>event {n})") for n in range(1000, 2000)} == {(None, frozenset(["text"]))}
+    assert set(compiled) == {"(?P<text>event 0000)"}
