@@ -273,3 +273,20 @@ def test_counter_rates_by_series_over_small_ranges(spark):
     fullest = df.repartitionByRange(20, "name", "ts").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert fullest <= 150
     assert rate_from_counter(df.limit(0), series="name").collect() == []
+
+
+def test_counter_rates_write_nothing_down_and_shuffle_samples_once(spark, capsys):
+    """Most samples in one instant of a long span; some without time; ranges need no checkpoint and no join."""
+    from lognorm.operators.recent import rate_from_counter
+
+    df = spark.sql("SELECT i % 3 AS name, IF(i < 20, NULL, timestamp_micros(IF(i < 900, i, i * 1000000000))) AS ts, i * 7 % 31 AS value "
+                   "FROM range(1000) AS r(i)").where("ts IS NOT NULL OR name = 0")
+    got = rate_from_counter(df, series="name", rows=50)
+    want = rate_from_counter(df, series="name", rows=10_000)
+    timed = lambda rates: sorted(map(tuple, rates.where("ts IS NOT NULL").collect()))
+    assert got.count() == df.count()
+    assert [r for r in timed(got) if r[0] > 0] == [r for r in timed(want) if r[0] > 0]
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "ExistingRDD" not in plan and "Join" not in plan
+    assert plan.count("REPARTITION_BY_NUM") == 1
