@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lognorm.operators import drafting as K
 from lognorm.operators.metrics import draft_totals
@@ -55,3 +56,13 @@ def test_promotion_needs_approval(dead, spark):
     assert K.active_parsers(waiting) == []
     registry = K.promote(waiting, spark.createDataFrame([("h1",)], "raw_sha256 string"))
     assert [d.file for d in K.active_parsers(registry)] == ["h1"]
+
+
+def test_many_dead_letters_are_drafted_by_many_tasks_and_made_once(spark, capsys):
+    dlq = spark.range(0, 12_000, 1, 1).selectExpr("sha2(string(id), 256) AS raw_sha256", "string(id) AS raw_payload", "'no match' AS error")
+    kept, drafts = K.handle_dlq(dlq, "openai", lambda system, user: "[]", "m", max_retries=0)
+    spread = K.draft_parsers(dlq, lambda system, user: "[]", "m", max_retries=0).withColumn("task", F.spark_partition_id())
+    assert spread.select("task").distinct().count() == 3
+    assert kept.count() == drafts.count() == 12_000
+    kept.explain()
+    assert "Range (" not in capsys.readouterr().out
