@@ -33,6 +33,8 @@ HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<head
 BREAKS = (r"(?i)</?(?:p|div|br|hr|h[1-6]|li|ul|ol|dl|dt|dd|tr|td|th|table|article|section|header|footer|nav|aside|main|"
           r"title|body|html|blockquote|pre|figure|form)\b[^>]*>")
 TAGS = r"</?[A-Za-z!?][^>]*>"
+#: The same alternatives behind their common ``<``, which is what a search has to look for.
+HIDDEN_AT_ONCE = "(?is)<(?:" + HIDDEN.removeprefix("(?is)<").replace("|<", "|") + ")"
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,7});"
 #: The named characters of HTML 4, as HTML 5 reads them, from the standard library.
 ENTITIES = {n: html.entities.html5[n + ";"] for n in sorted(html.entities.name2codepoint)}
@@ -41,9 +43,9 @@ LANGUAGE = r"(?is)<html\b[^>]*\slang=[\x22']?([A-Za-z0-9-]+)"
 
 
 def sha1_digest(data: Column) -> Column:
-    """``sha1:`` and the digest in base 32, as WARC files write it: 20 bits at a time."""
+    """``sha1:`` and the digest in base 32, as WARC files write it: at most 60 bits at a time."""
     digest = F.sha1(data.cast("binary"))
-    parts = [F.lpad(F.conv(F.substring(digest, 1 + 5 * i, 5), 16, 32), 4, "0") for i in range(8)]
+    parts = [F.lpad(F.conv(F.substring(digest, at, size), 16, 32), size * 4 // 5, "0") for at, size in ((1, 15), (16, 15), (31, 10))]
     return F.concat(F.lit("sha1:"), F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", BASE32))
 
 
@@ -89,7 +91,7 @@ def _entities(text: Column) -> Column:
 
 def plain_text(page: Column) -> Column:
     """Visible text of an HTML page, a line for each block."""
-    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(page, HIDDEN, " "), BREAKS, "\n"), TAGS, "")
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(page, HIDDEN_AT_ONCE, " "), BREAKS, "\n"), TAGS, "")
     text = F.regexp_replace(_entities(text), "[ \\t\\r\\f\\u000B\\u00A0]{2,}|[\\t\\r\\f\\u000B\\u00A0]", " ")
     return F.regexp_replace(F.regexp_replace(text, " ?\\n[ \\n]*", "\n"), "^[ \\n]+|[ \\n]+$", "")
 

@@ -1,3 +1,5 @@
+import base64
+import hashlib
 import html
 import re
 
@@ -82,3 +84,13 @@ def test_other_records_and_empty_tables(spark, pages):
     assert warc.derivatives(source.limit(0)).count() == 0
     odd = source.limit(1).withColumn("block", F.lit("no head at all"))
     assert warc.derivatives(odd).where("warc_type = 'conversion'").collect()[0].block == "no head at all"
+
+
+def test_digests_convert_few_pieces_and_hidden_parts_share_one_search(spark):
+    texts = ["", "ä", "<!-- a --><p>b<SCRIPT>x</Script ><noscript>n</noscript>c<head>h</head>d<style>", "a<b <!- c -->", "x" * 5_000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    digest = warc.sha1_digest(F.col("t"))
+    assert str(digest).count("conv(") == 3
+    got = df.select("t", digest, F.regexp_replace("t", warc.HIDDEN, " "), F.regexp_replace("t", warc.HIDDEN_AT_ONCE, " ")).collect()
+    for t, d, plain, at_once in got:
+        assert d == "sha1:" + base64.b32encode(hashlib.sha1(t.encode()).digest()).decode() and plain == at_once
