@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lognorm.session import cut_lineage
+from lognorm.session import cut_lineage, limit_batches
 
 #: Text that one slice holds at most; a single longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -79,7 +79,8 @@ def map_slices(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema, text: str = "text",
     limit: int = SLICE_BYTES,
 ) -> DataFrame:
-    """``make()`` once a task, its result on every slice; no shuffle, one slice in memory."""
+    """``make()`` once a task, its result on every slice; no shuffle, one slice of one bounded batch in memory."""
+    limit_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

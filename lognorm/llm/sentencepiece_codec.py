@@ -38,11 +38,12 @@ _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2
 ONE = (1,)
 #: Text of one slice: a worker holds its words, ids and decoded texts at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Larger than any id or character number, to make one number of two.
 SPAN = 1 << 32
-#: Words and pairs of pieces remembered by a task; beyond that it starts anew.
-REMEMBER_WORDS, REMEMBER_PAIRS = 300_000, 1_000_000
+#: Words, their characters and pairs of pieces remembered by a worker; beyond that it starts anew. A worker outlives
+#: its tasks, so this memory stays with the executor while later stages run.
+REMEMBER_WORDS, REMEMBER_CHARS, REMEMBER_PAIRS = 30_000, 1 << 20, 400_000
 
 
 @dataclass
@@ -195,6 +196,7 @@ class Encoder:
 
     def reset(self):
         self.code: dict[str, int] = {}
+        self.chars = 0
         self.flat, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -204,13 +206,14 @@ class Encoder:
             own = marked_words(t, self.v.dummy_prefix)
             counts.append(len(own))
             words += own
-        if len(self.code) > REMEMBER_WORDS:
+        if len(self.code) > REMEMBER_WORDS or self.chars > REMEMBER_CHARS:
             self.reset()
         new = sorted(set(words) - self.code.keys())
         if new:
             ids = viterbi_sorted(new, self.v)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             starts = np.cumsum(lengths) - lengths + len(self.flat)
+            self.chars += sum(map(len, new))
             self.code.update(zip(new, range(len(self.code), len(self.code) + len(new)), strict=True))
             self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))])
             self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])

@@ -79,3 +79,11 @@ def test_frames(spark, documents, library):
     assert sorted((r.doc_id or -1, r.text) for r in back.collect()) == sorted((i or -1, t or "") for i, t in rows)
     assert sp.encoded(documents([]), check=True).count() == 0
     assert sp.decoded(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).collect()[0].text == ""
+
+
+def test_remembered_words_are_bounded_in_characters(library):
+    encoder = sp.Encoder(sp.load_pieces(sp.MODEL))
+    for i in range(9):
+        word = "x" * (150_000 + i)
+        assert split(*encoder.encode([word])) == library.encode([word])
+    assert sum(map(len, encoder.code)) < 1_300_000

@@ -131,3 +131,28 @@ def test_hashes_of_long_texts_in_parts():
     hs = np.arange(200_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     want = sum(1 << b for b in range(64) if 2 * int((hs >> np.uint64(b) & np.uint64(1)).sum()) > len(hs))
     assert sh.fingerprint(hs) == want
+
+
+def test_rounds_of_few_links_run_in_few_tasks(spark, monkeypatch):
+    from lognorm.llm import components as module
+
+    tasks, saved = [], module.saved
+
+    def counted(df):
+        out = saved(df)
+        tasks.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(module, "saved", counted)
+    links = spark.createDataFrame([(i, i + 1) for i in range(40) if i % 10], "a long, b long")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        for most, few in ((50_000, True), (5, False)):
+            monkeypatch.setattr(module, "LINKS", most, raising=False)
+            tasks.clear()
+            got = {r.node: r.root for r in module.components(links).collect()}
+            assert got == {i: (i - 1) // 10 * 10 + 1 for i in range(1, 41)}
+            assert (max(tasks[1:]) == 1) == few
+    finally:
+        spark.conf.unset(merged)
