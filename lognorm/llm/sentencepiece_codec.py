@@ -38,12 +38,12 @@ _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 UNIGRAM, BPE = 1, 2
 ONE = (1,)
 #: Text of one slice: a worker holds its words, ids and decoded texts at once.
-SLICE = 1 << 18
+SLICE = 1 << 20
 #: Larger than any id or character number, to make one number of two.
 SPAN = 1 << 32
-#: Words, their characters and pairs of pieces remembered by a worker; beyond that it starts anew. A worker outlives
-#: its tasks, so this memory stays with the executor while later stages run.
-REMEMBER_WORDS, REMEMBER_CHARS, REMEMBER_PAIRS = 30_000, 1 << 20, 400_000
+#: Words and their characters remembered by a task, pairs of pieces by a worker; beyond that it starts anew. A worker
+#: outlives its tasks, so what it remembers stays with the executor while later stages run.
+REMEMBER_WORDS, REMEMBER_CHARS, REMEMBER_PAIRS = 100_000, 1 << 20, 400_000
 
 
 @dataclass
@@ -227,12 +227,6 @@ class Encoder:
         return ids, np.diff(np.concatenate([[0], reached]))
 
 
-@lru_cache(maxsize=2)
-def encoder_for(path: str) -> Encoder:
-    """One for each Python worker, so that tasks after the first find frequent words known."""
-    return Encoder(load_pieces(path))
-
-
 class Decoder:
     def __init__(self, v: Pieces):
         self.v = v
@@ -263,7 +257,7 @@ def encoded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model:
     docs.sparkSession.sparkContext.addFile(model)
 
     def make():
-        encoder = encoder_for(model_path(model))
+        encoder = Encoder(load_pieces(model_path(model)))
         decoder = Decoder(encoder.v)
 
         def work(piece: pa.RecordBatch) -> pa.RecordBatch:
