@@ -6,9 +6,10 @@ first n - ceil(8/9 n) + 1, because the overlap is at least 8/9 of the smaller se
 that meet so are compared: documents that share a text of nearly nine tenths do, those that share
 less meet by their own shingles alone. The order is by hash, but shingles that a sample shows in
 many documents come last; the sample changes the work, never the result. Shingles shared within
-the two prefixes, and what is left of the set whose prefix ends first, bound the overlap; pairs
-whose bound is too low need no check. A check reads the texts of the documents concerned again,
-and counts the shingles two sets share.
+the two prefixes, and what is left of the set whose prefix ends first, bound the overlap; so does a
+sketch of each set: ``SKETCH`` bits, each the parity of the shingles that fall on it. Two sketches differ
+in no more bits than shingles are in one set alone. Pairs whose bound is too low need no check. A check
+reads the texts of the documents concerned again, and counts the shingles two sets share.
 
 Documents are first grouped by a hash of their set, so copies cost one row. SimHash comes first:
 fingerprints of the sets that covering masks find within ``simhash.RADIUS`` bits are checked, and
@@ -17,7 +18,8 @@ the exact completion finds them all, and compares only what SimHash has not join
 and class of sizes the smallest member is the hub of the others; documents are checked against the
 hubs of their shingles, and once more against members of the shingles' commonest components. Then only
 pairs whose components still differ are compared: of a shingle's documents, those outside its
-commonest component with all of it. A family of n copies thus costs about n checks a shingle.
+commonest component with all of it, by size and sketch at once, so that what is far apart makes no row.
+A family of n copies thus costs about n checks a shingle.
 
 Words and shingles are those of ``simhash``, but five words long. Sets are told apart by 64-bit
 hashes (XXH64). A text without words (or null) has the empty set, equal to no other. Repeated rows
@@ -49,12 +51,15 @@ SAMPLE, COMMON = 32, 4
 MOST_COMMON = 200_000
 #: So many documents are broadcast to pick the texts to check; for more the texts are shuffled.
 FEW = 500_000
+#: Bits of a set's sketch, a power of two; sets of up to about twice as many shingles are told apart.
+SKETCH = 512
 #: Sizes of one class differ by less than this factor, so that any two may be near copies.
 CLASS = DOWN / UP
 
 
 def shingle_set(text: bytes) -> np.ndarray:
-    return np.unique(shingle_hashes(text, SHINGLE_WORDS))
+    hashes = np.sort(shingle_hashes(text, SHINGLE_WORDS))
+    return hashes[np.diff(hashes, prepend=~hashes[:1]) != 0]
 
 
 def key_of(shingles: np.ndarray) -> int:
@@ -65,12 +70,25 @@ def keys_of(texts: list[bytes]) -> np.ndarray:
     return np.array([key_of(shingle_set(t)) for t in texts], dtype=np.uint64).view(np.int64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """``SKETCH`` bits as longs: of how many shingles each is the last bits' number, odd or even."""
+    counts = np.bincount((shingles & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+    return np.packbits(counts & 1, bitorder="little").view(np.int64)
+
+
+def among(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which shingles are in the sorted ``common``, by binary search: ``np.isin`` sorts all of ``common`` at each call."""
+    at = np.searchsorted(common, shingles)
+    at[at == len(common)] = 0
+    return common[at] == shingles
+
+
 def ordered_prefix(shingles: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """The first n - ceil(n UP / DOWN) + 1 shingles, common ones last; how many a smaller set shows; how many shingles are rare."""
+    """The first n - ceil(n UP / DOWN) + 1 shingles, the sorted ``common`` ones last; how many a smaller set shows; how many shingles are rare."""
     n = len(shingles)
     rare = n
     if len(common):
-        last = np.isin(shingles, common)
+        last = among(shingles, common)
         shingles, rare = np.concatenate([shingles[~last], shingles[last]]), n - int(last.sum())
     size = n + (-n * UP) // DOWN + 1 if n else 0
     inner = n + (-n * 2 * UP) // (UP + DOWN) + 1 if n else 0
@@ -78,7 +96,7 @@ def ordered_prefix(shingles: np.ndarray, common: np.ndarray) -> tuple[np.ndarray
 
 
 def _prefixes(source: DataFrame, common: np.ndarray) -> DataFrame:
-    """(doc_id, key, n, rare, inner, tokens, fp) of every row; ``source`` has doc_id and text, fp is the set's SimHash."""
+    """(doc_id, key, n, rare, inner, tokens, fp, sketch) of every row; ``source`` has doc_id and text, fp is the set's SimHash."""
 
     def make():
         def work(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -90,12 +108,13 @@ def _prefixes(source: DataFrame, common: np.ndarray) -> DataFrame:
             number = lambda values: pa.array(list(values), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [column_of(piece, "doc_id"), pa.array(keys), number(map(len, sets)), number(r for _, _, r in heads),
-                 number(i for _, i, _ in heads), tokens, pa.array(np.array([fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64))],
-                ["doc_id", "key", "n", "rare", "inner", "tokens", "fp"])
+                 number(i for _, i, _ in heads), tokens, pa.array(np.array([fingerprint(s) for s in sets], dtype=np.uint64).view(np.int64)),
+                 pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))],
+                ["doc_id", "key", "n", "rare", "inner", "tokens", "fp", "sketch"])
 
         return work
 
-    return map_slices(source, make, "doc_id long, key long, n int, rare int, inner int, tokens array<long>, fp long", limit=SLICE)
+    return map_slices(source, make, "doc_id long, key long, n int, rare int, inner int, tokens array<long>, fp long, sketch array<long>", limit=SLICE)
 
 
 def common_shingles(source: DataFrame) -> np.ndarray:
@@ -125,16 +144,22 @@ def common_shingles(source: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["token"] for r in rows], dtype=np.int64).view(np.uint64))
 
 
+def _alike(x: str, y: str, n: str, m: str) -> str:
+    """Whether sets of n and m shingles with sketches x and y can be near copies: a near copy has few shingles the other lacks."""
+    bits = " + ".join(f"bit_count({x}[{i}] ^ {y}[{i}])" for i in range(SKETCH // 64))
+    return f"({bits}) * {UP + DOWN} <= ({n} + {m}) * {DOWN - UP}"
+
+
 def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, c) of ``pairs``, a row for each shared shingle of a's prefix and b's inner prefix: those
-    whose sets can overlap enough; ``c`` counts the rows. Sets: (key, n, rare, inner, size, last, inner_last)."""
+    whose sets can overlap enough; ``c`` counts the rows. Sets: (key, n, rare, inner, size, last, inner_last, sketch)."""
     counted = pairs.groupBy("a", "b").agg(F.count("*").alias("c"))
     x, y = sets.select([F.col(c).alias(f"x_{c}") for c in sets.columns]), sets.select([F.col(c).alias(f"y_{c}") for c in sets.columns])
     both = counted.join(x, F.col("a") == F.col("x_key")).join(y, F.col("b") == F.col("y_key"))
     # what ends first in the order: a common shingle comes after a rare one
     y_first = "struct(y_inner > y_rare, y_inner_last) <= struct(x_size > x_rare, x_last)"
     left = f"IF({y_first}, y_n - y_inner, x_n - x_size)"
-    return both.where(f"(c + {left}) * {UP + DOWN} >= (x_n + y_n) * {UP}").select("a", "b", "c")
+    return both.where(f"(c + {left}) * {UP + DOWN} >= (x_n + y_n) * {UP} AND {_alike('x_sketch', 'y_sketch', 'x_n', 'y_n')}").select("a", "b", "c")
 
 
 def _sets_of(keys: DataFrame, prefixes: DataFrame, source: DataFrame) -> DataFrame:
@@ -206,7 +231,7 @@ def links(prefixes: DataFrame, source: DataFrame) -> DataFrame:
     shared = tokens.groupBy("token").agg(F.count("*").alias("m"), F.max("inside").alias("inside")).where("m > 1 AND inside").select("token")
     members = saved(tokens.join(shared, "token", "left_semi"))
     sets = saved(one.select("key", "n", "rare", "inner", F.size("tokens").alias("size"), F.element_at("tokens", -1).alias("last"),
-                            F.expr("element_at(tokens, inner)").alias("inner_last")).join(members.select("key").distinct(), "key", "left_semi"))
+                            F.expr("element_at(tokens, inner)").alias("inner_last"), "sketch").join(members.select("key").distinct(), "key", "left_semi"))
 
     members = members.withColumn("step", F.floor(F.log("n") / F.log(F.lit(CLASS))))
     hubs = members.where("inside").groupBy("token", "step").agg(F.min(F.struct("n", "key")).alias("hub"))
@@ -221,12 +246,12 @@ def links(prefixes: DataFrame, source: DataFrame) -> DataFrame:
     again = again.where(larger | F.col("inside")).select(
         F.when(larger, F.col("key")).otherwise(F.col("hub.key")).alias("a"), F.when(larger, F.col("hub.key")).otherwise(F.col("key")).alias("b"))
     near = saved(near.unionAll(_checked(_possible(again, sets), prefixes, source)))
-    mixed = _mixed(members, near)
+    mixed = saved(_mixed(members, near).join(sets.select("key", "sketch"), "key"))
     other = mixed.select("token", F.col("key").alias("k"), F.col("n").alias("m"), F.col("inside").alias("within"), F.col("root").alias("r"),
-                         (F.col("root") != F.col("main")).alias("minor"))
+                         (F.col("root") != F.col("main")).alias("minor"), F.col("sketch").alias("bits"))
     ahead = "struct(m, k) < struct(n, key)"  # the other one is the smaller set
     pairs = mixed.where("root <> main").join(other, "token").where(
-        f"root <> r AND least(n, m) * {DOWN} >= greatest(n, m) * {UP} AND IF({ahead}, within, inside) AND (NOT minor OR key < k)")
+        f"root <> r AND least(n, m) * {DOWN} >= greatest(n, m) * {UP} AND IF({ahead}, within, inside) AND (NOT minor OR key < k) AND {_alike('sketch', 'bits', 'n', 'm')}")
     larger = F.expr(ahead)
     crossing = pairs.select(F.when(larger, F.col("key")).otherwise(F.col("k")).alias("a"), F.when(larger, F.col("k")).otherwise(F.col("key")).alias("b"))
     return near.unionAll(_checked(_possible(crossing, sets), prefixes, source))

@@ -46,8 +46,8 @@ def shingle_hashes(text: bytes, width: int = SHINGLE_WORDS) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    joined = memoryview(b" ".join(words))
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    joined = b" ".join(words)
+    ends = np.append(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32), len(joined))  # no word holds a space
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = max(len(words) - width + 1, 1)
     last = ends[min(width, len(words)) - 1:]

@@ -1,6 +1,8 @@
 import itertools
 import random
+import time
 
+import numpy as np
 import pytest
 
 from lognorm.llm import near_copies as nc
@@ -119,3 +121,53 @@ def test_simhash_joins_what_it_finds_before_prefixes_are_compared(spark, documen
     monkeypatch.setattr(nc, "_possible", counted)
     got = {r.doc_id: r.component_id for r in nc.near_copies(documents(rows)).collect()}
     assert got == {i: 1 for i in range(1, 9)} and left == [0, 0, 0]
+
+
+def test_a_set_does_not_pay_for_all_common_shingles():
+    """30 ms a text with 50,000 common shingles before: the list grows with the table, up to MOST_COMMON."""
+    rng = np.random.default_rng(1)
+    common = np.unique(rng.integers(0, 2**63, nc.MOST_COMMON, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([rng.integers(0, 2**63, 400, dtype=np.uint64), rng.choice(common, 100)])) for _ in range(200)]
+    began = time.process_time()
+    got = [nc.ordered_prefix(s, common) for s in sets]
+    assert time.process_time() - began < 2
+    known = set(common.tolist())
+    for s, (head, inner, rare) in zip(sets, got):
+        order = sorted(s.tolist(), key=lambda x: (x in known, x))
+        assert head.tolist() == order[:len(s) - -(-4 * len(s) // 5) + 1] and rare == sum(x not in known for x in order)
+
+
+def test_sketches_never_part_near_copies():
+    rng = random.Random(6)
+    bits = lambda p, q: sum(bin(int(x)).count("1") for x in (nc.sketch(p) ^ nc.sketch(q)).view(np.uint64))
+    for _ in range(300):
+        n = rng.choice([1, 2, 5, 30, 200, 3000])
+        both = [rng.getrandbits(64) for _ in range(n)]
+        p, q = (np.unique(np.array(both[:rng.randint(max(1, n * 8 // 10), n)] + [rng.getrandbits(64) for _ in range(rng.randint(0, n // 5))], dtype=np.uint64)) for _ in range(2))
+        shared = len(np.intersect1d(p, q))
+        assert bits(p, q) <= len(p) + len(q) - 2 * shared
+        if shared * 5 >= 4 * (len(p) + len(q) - shared):
+            assert bits(p, q) * 9 <= len(p) + len(q)
+
+
+def test_a_family_just_under_the_threshold_makes_few_pairs(spark, documents, monkeypatch):
+    """Copies of one text, each changed in places of its own: they share most shingles, and all stay under 0.8."""
+    left = []
+    possible = nc._possible
+
+    def counted(pairs, sets):
+        left.append(pairs.count())
+        return possible(pairs, sets)
+
+    monkeypatch.setattr(nc, "_possible", counted)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(50_000)}" for _ in range(200)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for at in range(i % 10, 200, 28):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.component_id for r in nc.near_copies(documents(rows)).collect()}
+    assert got == brute(rows) == {i: i for i in range(60)}
+    assert left[2] <= 60
